@@ -17,6 +17,7 @@ from precinct.operators.metrics import (
     Evaluation,
     accuracy,
     category_index,
+    cell_counts,
     confusion,
     evaluate,
     global_metrics,

@@ -39,14 +39,18 @@ def impute_zero(df: DataFrame, columns: Iterable[str] = NUMERIC) -> DataFrame:
 
 
 def derive(
-    df: DataFrame, weekend: Iterable[int] = WEEKEND_DAYS, numeric: Iterable[str] = NUMERIC
+    df: DataFrame,
+    weekend: Iterable[int] = WEEKEND_DAYS,
+    numeric: Iterable[str] = NUMERIC,
+    keep_invalid: bool = False,
 ) -> DataFrame:
     """All derived columns of valid incidents, as one projection over one filter.
 
     The filter goes before the imputation: a count imputed with 0 would be dropped anyway, and a filter on
-    the stored column reaches the scan while one on the imputed column does not.
+    the stored column reaches the scan while one on the imputed column does not. ``keep_invalid`` keeps all
+    rows and marks them in a column ``VALID``, for jobs that count both kinds in one pass.
     """
-    df = standardize(filter_valid(df))
+    df = standardize(df if keep_invalid else filter_valid(df))
     types = dict(df.dtypes)
     df = cast_numeric(df, numeric).withColumns({f: whole_number(F.col(f), types[f]) for f in FLAGS})
     df = df.withColumns(
@@ -62,4 +66,5 @@ def derive(
             "INCIDENT_TYPE": incident_type(F.col("OFFENSE_FLAGS_SUM")),
         }
     )
-    return impute_zero(df, numeric)
+    df = impute_zero(df, numeric)
+    return df.withColumn("VALID", F.col("TOTAL_DELITOS") > 0) if keep_invalid else df

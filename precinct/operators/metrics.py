@@ -28,6 +28,21 @@ def split_cells(
     )
 
 
+def cell_counts(cells: DataFrame) -> DataFrame:
+    """Rows read, processed, for training and for testing, from cells that were also split by ``VALID``."""
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    valid, train = F.col("VALID"), F.col("is_train")
+    return cells.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records_total"),
+        rows(valid).alias("records_processed"),
+        rows(valid & train).alias("train_rows"),
+        rows(valid & ~train).alias("test_rows"),
+    )
+
+
 def label_dictionary(cells: DataFrame) -> DataFrame:
     """Training labels, numbered by frequency and then by name.
 

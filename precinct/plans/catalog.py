@@ -379,11 +379,17 @@ def _timings(spark, folder):
     )
 
 
+def _report_cells(spark, folder):
+    """Cells for counts, distributions and both predictors, as a table made in one pass over the incidents."""
+    df = clean.derive(incidents(spark, folder), keep_invalid=True)
+    return materialize(metrics.split_cells(df, (*BY_STATE, *BY_INVOLVEMENT, "VALID")), "cells")
+
+
 def _summaries(spark, folder, cells=None):
-    """Summary records of the two predictors, from one table of cells."""
-    by = (*BY_STATE, *BY_INVOLVEMENT)
-    cells = materialize(_cells(spark, folder, by), "cells") if cells is None else cells
-    counts = analysis.row_counts(incidents(spark, folder))
+    """Summary records of the two predictors."""
+    cells = _report_cells(spark, folder) if cells is None else cells
+    counts = metrics.cell_counts(cells)
+    cells = cells.filter("VALID")
     timings = _timings(spark, folder)
     parts = []
     for name, keys in (("state", BY_STATE), ("involvement", BY_INVOLVEMENT)):
@@ -469,8 +475,9 @@ def compare_classes(spark, folder):
 
 @query
 def report_lines(spark, folder):
-    cells = materialize(_cells(spark, folder, (*BY_STATE, *BY_INVOLVEMENT)), "cells")
+    cells = _report_cells(spark, folder)
     _, summary = _summaries(spark, folder, cells)
+    cells = cells.filter("VALID")
     return reports.text_report(
         materialize(summary, "summary"),
         analysis.label_distribution(cells, weight="n"),

@@ -23,16 +23,20 @@ def write_text(lines: DataFrame, path: str) -> None:
     lines.orderBy("section", "seq").select("line").write.mode("overwrite").text(path)
 
 
-def write_incidents_parquet(df: DataFrame, path: str, partition_by: str | None = "MONTH") -> None:
-    """Incidents as Parquet.
+def write_incidents_parquet(
+    df: DataFrame, path: str, partition_by: str | None = "MONTH", rebalance: bool = True
+) -> None:
+    """Incidents as Parquet, one folder per month.
 
-    The rows are written from the partitions they are in; no shuffle gathers a month, and with it maybe a
-    third of all rows, in one task.
+    Rebalancing gathers a month in files of the advisory size and splits a month that holds a large share
+    of the rows over many tasks. Without it there is no shuffle, but each task writes a file per month.
     """
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        if rebalance:
+            df = df.hint("rebalance", partition_by)
+        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_metrics(summaries: DataFrame, path: str) -> None:
