@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.schema import CATEGORICAL, NUMERIC
+from precinct.session import spread
 
 
 def category_indexer(columns: Sequence[str] = CATEGORICAL) -> StringIndexer:
@@ -97,17 +98,18 @@ def input_columns(pipeline: Pipeline | PipelineModel) -> list[str]:
 def fit(pipeline: Pipeline, train: DataFrame, persist: bool = True) -> PipelineModel:
     """Fit on the columns the pipeline needs.
 
-    The passes of the indexers and of the estimator read the persisted rows; with ``train`` already in a
-    table of its own (``session.materialize``) persisting can be left out.
+    The passes of the indexers and of the estimator read the persisted rows. ``persist=False`` suits a large
+    ``train`` that is already a table of its own (``session.materialize``).
     """
     rows = train.select(*input_columns(pipeline))
-    if not persist:
+    busy = spread(rows)
+    if not persist and busy is rows:
         return pipeline.fit(rows)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    busy = busy.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline.fit(rows)
+        return pipeline.fit(busy)
     finally:
-        rows.unpersist()
+        busy.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from precinct.operators import analysis, clean, metrics, ml, reports, split
 from precinct.operators import runs as run_ops
 from precinct.plans.jobs import aggregate_analysis
 from precinct.schema import CATEGORICAL, NUMERIC
-from precinct.session import fit_shuffle, input_bytes, materialize, scratch_path
+from precinct.session import materialize, scratch_path, spread
 from precinct.sources import (
     incidents,
     load_tables,
@@ -38,14 +37,8 @@ ID = "A_INCIDENT_ID"
 
 
 def query(f: Query) -> Query:
-    @wraps(f)
-    def sized(spark: SparkSession, folder: str) -> DataFrame:
-        tables = load_tables(spark, folder, "orders", "customer", "lineitem", "events")
-        fit_shuffle(spark, input_bytes(*tables))
-        return f(spark, folder)
-
-    QUERIES[f.__name__] = sized
-    return sized
+    QUERIES[f.__name__] = f
+    return f
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,7 +309,7 @@ def _split_features(spark, folder):
 def _model_metrics(spark, folder, algorithm):
     train, test = _split_features(spark, folder)
     model = ml.fit(ml.build_pipeline(algorithm), train, persist=False)
-    cells = materialize(metrics.confusion(ml.score(model, test)), "confusion")
+    cells = materialize(metrics.confusion(ml.score(model, spread(test))), "confusion")
     labels = ml.label_names(model)
     return metrics.Evaluation(
         cells, metrics.index_to_name(cells, labels), metrics.per_class_metrics(cells, labels), metrics.global_metrics(cells)
@@ -337,7 +330,7 @@ def rf_metrics(spark, folder):
 def scored(spark, folder):
     train, test = _split_features(spark, folder)
     model = ml.fit(ml.build_pipeline("lr"), train, persist=False)
-    out = ml.score(model, test).select(ID, "label", "prediction", F.lit(1).alias("count"))
+    out = ml.score(model, spread(test)).select(ID, "label", "prediction", F.lit(1).alias("count"))
     names = metrics.index_to_name(out, ml.label_names(model))
     return names.groupBy("true_label", "pred_label").agg(F.sum("count").alias("count"))
 
@@ -348,7 +341,7 @@ def model_roundtrip(spark, folder):
     model = ml.fit(ml.build_pipeline("lr", max_iter=10), train, persist=False)
     path = scratch_path(spark, "model")
     ml.save_model(model, path)
-    once = ml.score(model, test).select(*test.columns, F.col("prediction").alias("before"))
+    once = ml.score(model, spread(test)).select(*test.columns, F.col("prediction").alias("before"))
     return ml.score(ml.load_model(path), once).agg(
         F.count("*").alias("scored_rows"), F.count_if(F.col("before") != F.col("prediction")).alias("different")
     )

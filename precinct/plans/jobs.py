@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precinct.functions import day_type, incident_date
 from precinct.operators import analysis, clean, metrics, ml, reports, split
 from precinct.schema import ALGORITHM_NAMES, WEEKEND_DAYS
-from precinct.session import materialize
+from precinct.session import fit_shuffle, input_bytes, materialize, spread
 from precinct.sources import (
     read_result_csv,
     read_run_summaries,
@@ -50,6 +50,7 @@ def train_and_evaluate(
     the way, and all later passes read the columns they need from there. The test rows are scored once; every
     metric comes from their confusion table.
     """
+    fit_shuffle(spark, input_bytes(raw))
     timings: dict[str, float] = {}
     started = time.time()
 
@@ -94,7 +95,7 @@ def train_and_evaluate(
         model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, persist=False)
 
     with phase("evaluate_seconds"):
-        confusion = materialize(metrics.confusion(ml.score(model, test_rows)), "confusion")
+        confusion = materialize(metrics.confusion(ml.score(model, spread(test_rows))), "confusion")
         labels = ml.label_names(model)
         write_csv(metrics.index_to_name(confusion, labels), f"{out}/confusion_{algorithm}")
         write_csv(metrics.per_class_metrics(confusion, labels), f"{out}/per_class_metrics_{algorithm}")

@@ -30,8 +30,12 @@ def local_session(app: str = "precinct", cores: int | str = "*", **conf: str) ->
 
 
 def input_bytes(*frames: DataFrame) -> int:
-    """Size of the given scans as the file index knows it; no job is run."""
-    return sum(int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames)
+    """Total size of the scans below the given frames as the file index knows it; no job is run."""
+    total = 0
+    for frame in frames:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total
 
 
 def fit_shuffle(spark: SparkSession, nbytes: int) -> int:
@@ -49,6 +53,20 @@ def fit_shuffle(spark: SparkSession, nbytes: int) -> int:
     return current
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster has cores.
+
+    For work that is heavy per row, such as training. Input with enough file splits is left as it is, so only
+    input too small to occupy the cluster is shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ))
+    return df.repartition(cores) if input_bytes(df) < cores * split else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``.
 

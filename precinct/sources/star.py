@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precinct.schema import INCIDENT_SCHEMA
+from precinct.session import fit_shuffle, input_bytes
 
 
 def load_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
@@ -20,6 +21,7 @@ def incidents(spark: SparkSession, folder: str) -> DataFrame:
     table sizes, and skewed join partitions are split by adaptive execution.
     """
     orders, customer, nation, lineitem = load_tables(spark, folder, "orders", "customer", "nation", "lineitem")
+    fit_shuffle(spark, input_bytes(orders, customer, lineitem))
     places = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         "c_custkey", F.col("n_name").alias("state")
     )
@@ -71,6 +73,7 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
     per phase is gathered into the map.
     """
     (events,) = load_tables(spark, folder, "events")
+    fit_shuffle(spark, input_bytes(events))
     phases = events.groupBy("user_id", "event_type").agg(
         F.sum(F.col("value").cast("decimal(12,2)")).alias("seconds")
     )
