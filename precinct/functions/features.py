@@ -45,11 +45,12 @@ def month_key(date: Column) -> Column:
 
 
 def hour_bucket(c: Column) -> Column:
-    """First two digits of the first four-digit run; "00" for midnight, "UNK" without digits, null for null."""
-    digits = F.regexp_extract(c, r"(\d{2})\d{2}", 1)
-    return F.when(F.lower(c).contains("midnight"), F.lit("00")).when(
-        c.isNotNull(), F.coalesce(F.nullif(digits, F.lit("")), F.lit(UNKNOWN_HOUR))
-    )
+    """First two digits of the first four-digit run; "00" for midnight, "UNK" without digits, null for null.
+
+    The fallback is appended to the text, so that one match finds either and nothing is matched twice.
+    """
+    found = F.regexp_extract(F.concat(c, F.lit(UNKNOWN_HOUR)), rf"\d{{2}}(?=\d{{2}})|{UNKNOWN_HOUR}$", 0)
+    return F.when(F.lower(c).contains("midnight"), F.lit("00")).otherwise(found)
 
 
 def hour_band(bucket: Column, hours: int = 6) -> Column:
