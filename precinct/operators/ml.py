@@ -45,9 +45,19 @@ def _logistic(max_iter: int = 50, **params) -> LogisticRegression:
     )
 
 
-def _forest(num_trees: int = 50, max_depth: int = 12, seed: int = 42, **params) -> RandomForestClassifier:
+def _forest(
+    num_trees: int = 50, max_depth: int = 12, seed: int = 42, cacheNodeIds: bool = True, **params
+) -> RandomForestClassifier:
+    """Rows remember the node they are in (one int per tree), which saves walking all trees again for each
+    level; the ids are checkpointed in ``spark.checkpoint.dir`` as the levels go on."""
     return RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=max_depth, seed=seed, **params
+        featuresCol="features",
+        labelCol="label",
+        numTrees=num_trees,
+        maxDepth=max_depth,
+        seed=seed,
+        cacheNodeIds=cacheNodeIds,
+        **params,
     )
 
 

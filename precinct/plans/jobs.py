@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precinct.functions import day_type, incident_date
 from precinct.operators import analysis, clean, metrics, ml, reports, split
 from precinct.schema import ALGORITHM_NAMES, WEEKEND_DAYS
-from precinct.session import fit_shuffle, input_bytes, materialize, spread
+from precinct.session import fit_shuffle, input_bytes, scratch_tables, spread
 from precinct.sources import (
     read_result_csv,
     read_run_summaries,
@@ -60,65 +60,67 @@ def train_and_evaluate(
         yield
         timings[name] = time.time() - begin
 
-    with phase("feature_engineering_seconds"):
-        seen = Observation()
-        counted = raw.observe(seen, F.count("*").alias("records_total"))
-        keep = [*ml.input_columns(ml.build_pipeline(algorithm, **params)), key]
-        derived = clean.derive(counted).withColumn("is_train", split.in_train(F.col(key), train))
-        features = materialize(derived.select(*dict.fromkeys(keep), "is_train"), "features")
-        records_total = seen.get["records_total"]
-
-    with phase("label_distribution_seconds"):
-        cells = materialize(
-            features.groupBy("state", "INCIDENT_TYPE", "is_train").agg(F.count("*").alias("n")), "cells"
-        )
-        write_csv(analysis.label_distribution(cells, 10, weight="n"), f"{out}/incident_type_distribution")
-        write_csv(analysis.type_by_state(cells, "THEFT", weight="n"), f"{out}/theft_by_state")
-        write_csv(analysis.types_by_state(cells, weight="n"), f"{out}/incident_types_by_state")
-
-    with phase("split_seconds"):
-        if random:
-            train_rows, test_rows = split.random_split(features, (train, 1 - train), seed)
-            sizes = {"train_rows": train_rows.count(), "test_rows": test_rows.count()}
-        else:
-            train_rows, test_rows = features.filter("is_train"), features.filter("not is_train")
-            sizes = (
-                cells.agg(
-                    F.coalesce(F.sum(F.when(F.col("is_train"), F.col("n"))), F.lit(0)).alias("train_rows"),
-                    F.coalesce(F.sum(F.when(~F.col("is_train"), F.col("n"))), F.lit(0)).alias("test_rows"),
-                )
-                .first()
-                .asDict()
+    model_path = f"{out}/models/{algorithm}"
+    with scratch_tables(spark) as table:
+        with phase("feature_engineering_seconds"):
+            seen = Observation()
+            counted = raw.observe(seen, F.count("*").alias("records_total"))
+            keep = [*ml.input_columns(ml.build_pipeline(algorithm, **params)), key]
+            derived = clean.derive(counted).withColumn("is_train", split.in_train(F.col(key), train))
+            features = table(derived.select(*dict.fromkeys(keep), "is_train"), "features")
+            records_total = seen.get["records_total"]
+
+        with phase("label_distribution_seconds"):
+            cells = table(
+                features.groupBy("state", "INCIDENT_TYPE", "is_train").agg(F.count("*").alias("n")), "cells"
             )
+            write_csv(analysis.label_distribution(cells, 10, weight="n"), f"{out}/incident_type_distribution")
+            write_csv(analysis.type_by_state(cells, "THEFT", weight="n"), f"{out}/theft_by_state")
+            write_csv(analysis.types_by_state(cells, weight="n"), f"{out}/incident_types_by_state")
+
+        with phase("split_seconds"):
+            if random:
+                train_rows, test_rows = split.random_split(features, (train, 1 - train), seed)
+                sizes = {"train_rows": train_rows.count(), "test_rows": test_rows.count()}
+            else:
+                train_rows, test_rows = features.filter("is_train"), features.filter("not is_train")
+                sizes = (
+                    cells.agg(
+                        F.coalesce(F.sum(F.when(F.col("is_train"), F.col("n"))), F.lit(0)).alias("train_rows"),
+                        F.coalesce(F.sum(F.when(~F.col("is_train"), F.col("n"))), F.lit(0)).alias("test_rows"),
+                    )
+                    .first()
+                    .asDict()
+                )
 
-    with phase("fit_seconds"):
-        model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, persist=False)
+        with phase("fit_seconds"):
+            model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, persist=False)
 
-    with phase("evaluate_seconds"):
-        confusion = materialize(metrics.confusion(ml.score(model, spread(test_rows))), "confusion")
-        labels = ml.label_names(model)
-        write_csv(metrics.index_to_name(confusion, labels), f"{out}/confusion_{algorithm}")
-        write_csv(metrics.per_class_metrics(confusion, labels), f"{out}/per_class_metrics_{algorithm}")
-        overall = metrics.global_metrics(confusion)
+        with phase("evaluate_seconds"):
+            confusion = table(metrics.confusion(ml.score(model, spread(test_rows))), "confusion")
+            labels = ml.label_names(model)
+            write_csv(metrics.index_to_name(confusion, labels), f"{out}/confusion_{algorithm}")
+            write_csv(metrics.per_class_metrics(confusion, labels), f"{out}/per_class_metrics_{algorithm}")
+            overall = metrics.global_metrics(confusion)
 
-    model_path = f"{out}/models/{algorithm}"
-    with phase("save_model_seconds"):
-        ml.save_model(model, model_path)
+        with phase("save_model_seconds"):
+            ml.save_model(model, model_path)
+
+        counts = spark.createDataFrame(
+            [(records_total, sum(sizes.values()), sizes["train_rows"], sizes["test_rows"])],
+            "records_total bigint, records_processed bigint, train_rows bigint, test_rows bigint",
+        )
+        summary = reports.run_summary(
+            overall,
+            counts,
+            ALGORITHM_NAMES[algorithm],
+            F.create_map(*[x for k, v in timings.items() for x in (F.lit(k), F.lit(v))]),
+            data_file,
+            model_path,
+            F.lit(time.time() - started),
+        )
+        write_summary(summary, f"{out}/summary_{algorithm}")
 
-    counts = spark.createDataFrame(
-        [(records_total, sum(sizes.values()), sizes["train_rows"], sizes["test_rows"])],
-        "records_total bigint, records_processed bigint, train_rows bigint, test_rows bigint",
-    )
-    summary = reports.run_summary(
-        overall,
-        counts,
-        ALGORITHM_NAMES[algorithm],
-        F.create_map(*[x for k, v in timings.items() for x in (F.lit(k), F.lit(v))]),
-        data_file,
-        model_path,
-        F.lit(time.time() - started),
-    )
-    write_summary(summary, f"{out}/summary_{algorithm}")
     stored = read_run_summaries(spark, f"{out}/summary_{algorithm}")
     write_text(reports.summary_lines(stored), f"{out}/summary_{algorithm}_text")
     return stored

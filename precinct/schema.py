@@ -94,14 +94,3 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("total_runtime_seconds", T.DoubleType()),
     ]
 )
-
-RUN_SCHEMA = T.StructType(
-    [
-        T.StructField("run", T.LongType()),
-        T.StructField("workers", T.IntegerType()),
-        T.StructField("timings_seconds", T.MapType(T.StringType(), T.DoubleType())),
-        T.StructField("total_runtime_seconds", T.DoubleType()),
-        T.StructField("wall_seconds", T.DoubleType()),
-        T.StructField("summary_file", T.StringType()),
-    ]
-)

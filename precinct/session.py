@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,15 +58,15 @@ def fit_shuffle(spark: SparkSession, nbytes: int) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as the cluster has cores.
 
-    For work that is heavy per row, such as training. Input with enough file splits is left as it is, so only
-    input too small to occupy the cluster is shuffled.
+    For work that is heavy per row, such as training. Only input whose file splits would leave more than
+    half of the cores idle is shuffled.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     ))
-    return df.repartition(cores) if input_bytes(df) < cores * split else df
+    return df.repartition(cores) if 2 * input_bytes(df) < cores * split else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -80,6 +82,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function that materializes tables and removes them all at the end."""
+    paths: list[str] = []
+
+    def table(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return materialize(df, path=paths[-1])
+
+    try:
+        yield table
+    finally:
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

@@ -98,3 +98,26 @@ def test_first_available(spark):
     assert first_available(df, "p").first()["v"] == "new"
     assert sorted(r["v"] for r in first_available(df, "p", "k").collect()) == ["legacy", "new"]
     assert first_available(df.filter("p > 5"), "p").count() == 0
+
+
+def test_retraining_on_some_months(spark, features, tmp_path):
+    """A stored table partitioned by month is a job input again; other months are not read."""
+    from precinct.sources import read_incidents_parquet, write_incidents_parquet
+
+    path = str(tmp_path / "stored")
+    write_incidents_parquet(features, path)
+    months = read_incidents_parquet(spark, path).filter(F.col("MONTH").isin(1, 2, 3))
+    row = train_and_evaluate(spark, months, str(tmp_path / "out"), "lr", max_iter=2).first()
+    assert row["records_total"] == row["records_processed"] == features.filter("MONTH in ('1', '2', '3')").count()
+
+
+def test_scratch_tables_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from precinct.session import scratch_tables
+
+    with scratch_tables(spark) as table:
+        df = table(spark.range(10).toDF("x"), "numbers")
+        file = Path(df.inputFiles()[0].removeprefix("file://"))
+        assert df.count() == 10 and file.exists()
+    assert not file.exists() and not file.parent.exists()
