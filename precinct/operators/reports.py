@@ -13,15 +13,29 @@ from precinct.operators.analysis import focus_top, top_states_per_type
 from precinct.schema import CATEGORICAL, FOCUS_LABELS, NUMERIC, RANKED_LABELS, SUMMARY_SCHEMA
 from precinct.sources.readers import resolve_col
 
-# --- Fixed values: texts of the reports ---
+# --- Fixed values: texts and line formats of the reports ---
 TITLE = "Resumen - Clasificación MLlib"
 NO_TIMINGS = "  (No se encontraron timings)"
 NO_DISTRIBUTION = "  (No se encontró distribución)"
 TIMINGS_HEADER = "Tiempos por etapa (s):"
+SUMMARY_TIMINGS_HEADER = "Timings (s):"
 DISTRIBUTION_HEADER = "Distribución INCIDENT_TYPE (ordenada):"
 THEFT_HEADER = "THEFT por estado (ordenado):"
 FOCUS_HEADER = "Tipos clave por estado (top 10 ordenado):"
 TYPE_HEADER = "%s por estado (top 10):"
+SOURCE_LINE = "Fuente: %s"
+FILE_LINE = "Archivo: %s"
+STAMP_LINE = "Fecha (UTC): %s"
+ALGORITHM_LINE = "Algoritmo: %s"
+COUNTS_LINE = "Leídos: %s | Procesados: %s"
+TOTAL_LINE = "Total leídos: %s"
+PROCESSED_LINE = "Procesados: %s"
+SPLIT_LINE = "Train: %s | Test: %s"
+METRICS_LINE = "Accuracy: %s | F1: %s"
+DURATION_LINE = "Duración: %s min (%s s)"
+RUNTIME_LINE = "Total runtime (s): %s"
+MODEL_LINE = "Modelo: %s"
+ENTRY_LINE = "  %s: %s"
 
 
 def run_summary(
@@ -108,39 +122,32 @@ def _block(summary: DataFrame, section: int, lines: Iterable[Column]) -> DataFra
 
 def _timing_lines(summary: DataFrame, section: int) -> DataFrame:
     timings = summary.select(F.posexplode("timings_seconds").alias("pos", "phase", "seconds"))
-    line = F.concat(F.lit("  "), F.col("phase"), F.lit(": "), fixed(F.col("seconds"), 2))
-    return _lines(timings, section, line, F.col("pos"))
+    return _lines(timings, section, _line(ENTRY_LINE, "phase", fixed(F.col("seconds"), 2)), F.col("pos"))
 
 
-def _joined(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def _line(pattern: str, *values: Column | str) -> Column:
+    """A formatted line; a missing value leaves its place empty."""
+    columns = [F.col(v) if isinstance(v, str) else v for v in values]
+    return F.format_string(pattern, *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
 
 
-def _head(summary: DataFrame) -> dict[str, Column]:
-    accuracy, f1 = F.col("metrics.accuracy"), F.col("metrics.f1")
-    return {
-        "counts": _joined("Leídos: ", F.col("records_total"), " | Procesados: ", F.col("records_processed")),
-        "split": _joined("Train: ", F.col("train_rows"), " | Test: ", F.col("test_rows")),
-        "metrics": _joined("Accuracy: ", fixed(accuracy, 4), " | F1: ", fixed(f1, 4)),
-        "model": _joined("Modelo: ", F.coalesce(F.col("model_path"), F.lit(""))),
-        "algorithm": _joined("Algoritmo: ", F.col("algorithm")),
-    }
+def _metrics_line() -> Column:
+    return _line(METRICS_LINE, fixed(F.col("metrics.accuracy"), 4), fixed(F.col("metrics.f1"), 4))
 
 
 def summary_lines(summary: DataFrame, title: str = TITLE) -> DataFrame:
     """Text form of one run summary: section, seq, name, line."""
-    head = _head(summary)
     top = [
         F.lit(title),
-        _joined("Fecha (UTC): ", F.coalesce(F.col("run_timestamp"), F.lit(""))),
-        _joined("Archivo: ", F.col("data_file")),
-        _joined("Total leídos: ", F.col("records_total")),
-        _joined("Procesados: ", F.col("records_processed")),
-        head["split"],
-        head["metrics"],
-        F.lit("Timings (s):"),
+        _line(STAMP_LINE, "run_timestamp"),
+        _line(FILE_LINE, "data_file"),
+        _line(TOTAL_LINE, "records_total"),
+        _line(PROCESSED_LINE, "records_processed"),
+        _line(SPLIT_LINE, "train_rows", "test_rows"),
+        _metrics_line(),
+        F.lit(SUMMARY_TIMINGS_HEADER),
     ]
-    end = [_joined("Total runtime (s): ", fixed(F.col("total_runtime_seconds"), 2)), head["model"]]
+    end = [_line(RUNTIME_LINE, fixed(F.col("total_runtime_seconds"), 2)), _line(MODEL_LINE, "model_path")]
     return _block(summary, 0, top).unionByName(_timing_lines(summary, 1)).unionByName(_block(summary, 2, end))
 
 
@@ -166,17 +173,16 @@ def text_report(
     Ranked lists carry the negative count as ``seq``, so the order needs no numbering of the rows. The
     inputs are the small result tables of a run, normally read back from where it wrote them.
     """
-    head = _head(summary)
     seconds = F.col("total_runtime_seconds")
     top = [
         F.lit(title),
-        _joined("Fuente: ", F.col("data_file")),
-        head["algorithm"],
-        head["counts"],
-        head["split"],
-        head["metrics"],
-        _joined("Duración: ", fixed(minutes(seconds), 2), " min (", fixed(F.coalesce(seconds, F.lit(0.0)), 2), " s)"),
-        head["model"],
+        _line(SOURCE_LINE, "data_file"),
+        _line(ALGORITHM_LINE, "algorithm"),
+        _line(COUNTS_LINE, "records_total", "records_processed"),
+        _line(SPLIT_LINE, "train_rows", "test_rows"),
+        _metrics_line(),
+        _line(DURATION_LINE, fixed(minutes(seconds), 2), fixed(F.coalesce(seconds, F.lit(0.0)), 2)),
+        _line(MODEL_LINE, "model_path"),
         F.lit(""),
         F.lit(TIMINGS_HEADER),
     ]
@@ -188,13 +194,13 @@ def text_report(
         _timing_lines(summary, 1),
         _lines(no_timings, 1, F.lit(NO_TIMINGS)),
         _block(summary, 2, [F.lit(""), F.lit(DISTRIBUTION_HEADER)]),
-        _lines(distribution, 3, _joined("  ", F.col("INCIDENT_TYPE"), ": ", count), -count, F.col("INCIDENT_TYPE")),
+        _lines(distribution, 3, _line(ENTRY_LINE, "INCIDENT_TYPE", count), -count, F.col("INCIDENT_TYPE")),
         _lines(empty, 3, F.lit(NO_DISTRIBUTION)),
     ]
     if theft is not None:
         state, amount = (F.col(f"`{resolve_col(theft, c) or c}`") for c in ("state", "count"))
         shown = F.coalesce(state, F.lit(""))
-        parts += _titled(theft, 4, THEFT_HEADER, _joined("  ", shown, ": ", amount), -amount, shown)
+        parts += _titled(theft, 4, THEFT_HEADER, _line(ENTRY_LINE, shown, amount), -amount, shown)
     if by_state is not None:
         shown = F.coalesce(F.col("state"), F.lit(""))
         present = [t for t in focus if resolve_col(by_state, t)]
@@ -202,10 +208,10 @@ def text_report(
             pairs = key_values({t: F.col(t) for t in present})
             rank = F.col("THEFT") if "THEFT" in present else F.col(present[0])
             parts += _titled(
-                focus_top(by_state, focus, n), 6, FOCUS_HEADER, _joined("  ", shown, ": ", pairs), -rank, shown
+                focus_top(by_state, focus, n), 6, FOCUS_HEADER, _line(ENTRY_LINE, shown, pairs), -rank, shown
             )
         tops = top_states_per_type(by_state, ranked, n)
         for i, label in enumerate(ranked):
             rows = tops.filter(F.col("INCIDENT_TYPE") == label)
-            parts += _titled(rows, 8 + 2 * i, TYPE_HEADER % label, _joined("  ", shown, ": ", count), -count, shown)
+            parts += _titled(rows, 8 + 2 * i, TYPE_HEADER % label, _line(ENTRY_LINE, shown, count), -count, shown)
     return reduce(DataFrame.unionByName, parts)

@@ -9,8 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Input per shuffle partition. The columns that get shuffled are about a quarter of the input, so this gives
+# partitions of some 128 MB. The upper bound keeps the number of shuffle blocks (map tasks times partitions) sane.
+SHUFFLE_INPUT_BYTES = 512 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def local_session(app: str = "precinct", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -48,7 +50,7 @@ def fit_shuffle(spark: SparkSession, nbytes: int) -> int:
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(-(-nbytes // SHUFFLE_TARGET_BYTES), MAX_SHUFFLE_PARTITIONS)
+    needed = min(-(-nbytes // SHUFFLE_INPUT_BYTES), MAX_SHUFFLE_PARTITIONS)
     if needed > current:
         spark.conf.set(key, str(needed))
         return needed

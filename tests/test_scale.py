@@ -58,8 +58,9 @@ def test_shuffle_is_sized_upwards_only(spark, folder):
     try:
         before = fit_shuffle(spark, 1)
         assert before == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert fit_shuffle(spark, 100 * 2**40) == 100_000
-        assert fit_shuffle(spark, 1) == 100_000
+        assert fit_shuffle(spark, 2**40) == 2048
+        assert fit_shuffle(spark, 100 * 2**40) == 50_000
+        assert fit_shuffle(spark, 1) == 50_000
     finally:
         spark.conf.unset(key)
 

@@ -50,6 +50,14 @@ def test_csv_paths_and_patterns(spark, csv_dir):
     assert ids(read_incidents_csv(spark, str(csv_dir), file_filter="*_2021.csv")) == [3]
 
 
+def test_csv_files_with_another_header_are_refused(spark, csv_dir):
+    """A file whose columns are in another order fails; it is not read by position."""
+    names = HEADER.split(",")
+    (csv_dir / "c_2022.csv").write_text(",".join(reversed(names)) + "\n1,1.5,x,20220101,1,9,UT,X\n")
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        read_incidents_csv(spark, [str(csv_dir / "a_2020.csv"), str(csv_dir / "c_2022.csv")]).collect()
+
+
 def test_csv_inference(spark, csv_dir):
     types = dict(read_incidents_csv(spark, str(csv_dir), infer=True).dtypes)
     assert types["State"] == "string" and types["incident_number"] in ("int", "bigint")
