@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from precinct.llm import bpe_prefix, token_files
+from precinct.llm import bpe_prefix, minhash, token_files
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,37 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op2_near_duplicates(spark, folder):
+    return minhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+ORACLE["op2_near_duplicates"] = r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (
+  SELECT doc_id, count(s) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION
+  SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN least ON node = doc_id
+"""
+
+
 @query
 def op9_bpe_roundtrip(spark, folder):
     return bpe_prefix.encode(read_table(spark, folder, "documents"), with_ids=False)

@@ -190,7 +190,7 @@ def write_token_files(
                 doc_ids.clear(), counts.clear(), ids.clear()
 
         for batch in batches:
-            keys = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            keys = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
             places = batch.column("bucket").to_numpy()
             data, offsets = text_buffers(batch.column("text"))
             for lo, hi in chunks(offsets, BATCH_BYTES):
