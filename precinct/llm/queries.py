@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from precinct.llm import bpe_prefix, minhash, token_files
+from precinct.llm import bpe_prefix, fingerprint, minhash, token_files
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_fingerprints(spark, folder):
+    return fingerprint.edited_copies(read_table(spark, folder, "documents"))
+
+
 @query
 def op2_near_duplicates(spark, folder):
     return minhash.near_duplicates(read_table(spark, folder, "documents"))
