@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from precinct.llm import bpe_prefix, fingerprint, minhash, token_files
+from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, token_files
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,12 @@ FROM sizes JOIN least ON node = doc_id
 """
 
 
+@query
+def op3_source_mix(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    return mixing.Mix(docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("size"))).taken()
+
+
 @query
 def op9_bpe_roundtrip(spark, folder):
     return bpe_prefix.encode(read_table(spark, folder, "documents"), with_ids=False)
