@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, token_files
+from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, sharding, token_files
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,22 @@ def op3_source_mix(spark, folder):
     return mixing.Mix(docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("size"))).taken()
 
 
+@query
+def op6_resharding(spark, folder):
+    docs = sharding.old_layout(read_table(spark, folder, "documents"))
+    files = sharding.Resharding(docs, sharding.OLD_SHARDS).rewrite()
+    raw = F.coalesce("text", F.lit("")).cast("binary")
+    return files.select(
+        "doc_id",
+        (F.octet_length(raw) + 8).cast("long").alias("size"),
+        F.crc32(raw).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op9_bpe_roundtrip(spark, folder):
     return bpe_prefix.encode(read_table(spark, folder, "documents"), with_ids=False)
