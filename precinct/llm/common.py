@@ -215,3 +215,33 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
             break
     members = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return members.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+
+
+# --- Groups in sorted partitions ---
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 1) -> Iterator[pa.Table]:
+    """The groups of ``keys`` in a partition that is sorted by them, one table for each with ``least`` rows or more."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        change[0] = last is not None and first != last
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if k and held:
+                if sum(h.num_rows for h in held) >= least:
+                    yield pa.Table.from_batches(held)
+                held = []
+            # A group that is too small and ends inside the batch is not even sliced.
+            if b > a and (b == batch.num_rows or b - a >= least or held):
+                held.append(batch.slice(a, b - a))
+        last = tuple(c[-1] for c in columns)
+    if sum(h.num_rows for h in held) >= least:
+        yield pa.Table.from_batches(held)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, sharding, token_files
+from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, sharding, token_files, vectors
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,32 @@ def op6_resharding(spark, folder):
     )
 
 
+@query
+def op7_near_vectors(spark, folder):
+    return vectors.near_vectors(read_table(spark, folder, "embeddings"))
+
+
+ORACLE["op7_near_vectors"] = """
+WITH RECURSIVE
+good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings
+  UNION
+  SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+
 @query
 def op9_bpe_roundtrip(spark, folder):
     return bpe_prefix.encode(read_table(spark, folder, "documents"), with_ids=False)
