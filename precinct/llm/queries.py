@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, minhash, mixing, sharding, token_files, vectors
+from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, sharding, token_files, vectors
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,15 @@ FROM embeddings JOIN least ON node = vec_id LEFT JOIN counts ON a = vec_id
 """
 
 
+@query
+def op8_language_id(spark, folder):
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = language.held_out(F.col("doc_id"))
+    references = language.learn(docs.filter(~held_out))
+    out = language.identify(docs, references, "doc_id", held_out.alias("held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op9_bpe_roundtrip(spark, folder):
     return bpe_prefix.encode(read_table(spark, folder, "documents"), with_ids=False)
