@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, sharding, token_files, vectors
+from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, quality, sharding, token_files, vectors
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,14 @@ def op3_source_mix(spark, folder):
     return mixing.Mix(docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("size"))).taken()
 
 
+@query
+def op4_quality(spark, folder):
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    held_out = language.held_out(F.col("doc_id"))
+    model = quality.learn(docs.filter(~held_out), read_table(spark, folder, "labels"))
+    return quality.score(docs, model, "doc_id", held_out.alias("held_out"))
+
+
 @query
 def op6_resharding(spark, folder):
     docs = sharding.old_layout(read_table(spark, folder, "documents"))
