@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, quality, sharding, token_files, vectors
+from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, quality, sharding, substrings, token_files, vectors
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op4_quality(spark, folder):
     return quality.score(docs, model, "doc_id", held_out.alias("held_out"))
 
 
+@query
+def op5_repeated_strings(spark, folder):
+    return substrings.remove_repeats(read_table(spark, folder, "documents"))
+
+
 @query
 def op6_resharding(spark, folder):
     docs = sharding.old_layout(read_table(spark, folder, "documents"))

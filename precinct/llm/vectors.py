@@ -173,7 +173,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["component", "i", "j"]):
-            second = group.column("second").to_numpy()
+            second = group.column("second").to_numpy(zero_copy_only=False)
             ids, n, x = group.column("cid").to_numpy(), group.column("n").to_numpy(), unit_rows(group.column("embedding"))
             same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
             left = np.flatnonzero(~second)
