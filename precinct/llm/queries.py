@@ -27,7 +27,7 @@ def op1_fingerprints(spark, folder):
 
 @query
 def op2_near_duplicates(spark, folder):
-    return minhash.near_duplicates(read_table(spark, folder, "documents"))
+    return minhash.near_duplicates(read_table(spark, folder, "documents")).drop("text_key", "group_key")
 
 
 ORACLE["op2_near_duplicates"] = r"""
