@@ -119,7 +119,7 @@ def ordered_buckets(df: DataFrame, key: str, buckets: int, bucket: str = "bucket
     out = Bucketizer(splits=splits, inputCol=scratch, outputCol=bucket, handleInvalid="keep").transform(
         df.withColumn(scratch, F.col(key).cast("double"))
     )
-    return out.drop(scratch).withColumn(bucket, F.col(bucket).cast("int")), len(splits)
+    return out.drop(scratch).withColumn(bucket, F.coalesce(F.col(bucket).cast("int"), F.lit(len(splits) - 1))), len(splits)
 
 
 def running_sums(

@@ -97,7 +97,7 @@ class CrossParser:
             tables.append(table.astype(np.int32).reshape(-1))
             self.start.append(base + dead * width)
             base += (dead + 1) * width
-        self.table = np.concatenate(tables)
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(rows, languages) numbers of phrases of normalized texts."""

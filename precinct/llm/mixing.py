@@ -14,10 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import mix64, ordered_buckets, running_sums, shuffle_partitions
+from precinct.llm.common import mix64, ordered_buckets, running_sums, shuffle_partitions, text_buffers
+from precinct.llm.minhash import text_key, word_places
 from precinct.session import materialize
 
 BLOCK_WORDS = 64
@@ -142,12 +144,13 @@ class Mix:
     the driver holds. ``documents`` has doc_id, source, size, source_size, target and ``row``, a number that tells
     repeated rows apart; ``pieces`` has one row for each block and document in it (source_no, block, row, doc_id,
     first_word, words); ``slots`` has one for each slot. Documents without words belong to no block. Rows are
-    ordered by doc_id, null last, then by size.
+    ordered by doc_id, null last, then by size. ``carry`` names more columns that tell rows apart.
     """
 
-    def __init__(self, docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 1):
-        spark = docs.sparkSession
-        light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("size").cast("long").alias("size"))
+    def __init__(self, docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 1,
+                 carry: tuple[str, ...] = ()):
+        spark, self.carry = docs.sparkSession, carry
+        light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("size").cast("long").alias("size"), *carry)
         light, _ = ordered_buckets(light, "doc_id", 4 * shuffle_partitions(spark))
         light = materialize(light, "mix-sizes")
         found = light.groupBy("source").agg(F.sum("size").alias("size")).collect()
@@ -162,14 +165,14 @@ class Mix:
         )
         self.source_sizes, self.targets, self.wanted = sizes, aims, wanted
         numbered = light.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-        order = [F.col("doc_id").asc_nulls_last(), F.col("size")]
+        order = [F.col("doc_id").asc_nulls_last(), F.col("size"), *carry]
         placed = running_sums(
             numbered, ["source_no"], "bucket", order, {"start": F.col("size"), "number": F.lit(1).cast("long")}
         )
         # The number of a row among those of its source, made unique over all sources.
         row = F.col("number") * F.lit(max(len(sizes), 1)) + F.col("source_no")
         self.documents = materialize(
-            placed.select("doc_id", "source", "source_no", "size", "source_size", "target", "start", row.alias("row")), "mix-documents"
+            placed.select("doc_id", "source", "source_no", "size", "source_size", "target", "start", row.alias("row"), *carry), "mix-documents"
         )
         first, last = F.col("start"), F.col("start") + F.col("size") - 1
         length = F.lit(block_words)
@@ -195,9 +198,47 @@ class Mix:
         return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def row_spans(self) -> DataFrame:
-        """(row, doc_id, source, spans): for every row with taken words, its spans as (first_word, words, times) in order."""
+        """(doc_id, the carried columns, spans): for rows with taken words, their spans (first_word, words, times)."""
         drawn = self.slots.groupBy("source_no", "block").agg(F.count("*").cast("int").alias("times"))
         spans = self.pieces.join(drawn, ["source_no", "block"]).groupBy("row").agg(
-            F.sort_array(F.collect_list(F.struct("first_word", "words", "times"))).alias("spans")
+            F.collect_list(F.struct("first_word", "words", "times")).alias("spans")
         )
-        return self.documents.select("row", "doc_id", "source", "size").join(spans, "row")
+        return self.documents.select("row", "doc_id", *self.carry).join(spans, "row").drop("row")
+
+
+def span_texts(rows: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns of ``rows`` and, as ``text``, the words of ``spans`` in their order, each span as often as it was drawn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            raw = memoryview(data)
+            starts, ends, bounds = word_places(data, offsets)
+            texts = []
+            for row, spans in enumerate(batch.column("spans").to_pylist()):
+                parts = []
+                for span in sorted(spans, key=lambda s: s["first_word"]):
+                    a = bounds[row] + span["first_word"]
+                    part = bytes(raw[starts[a] : ends[a + span["words"] - 1]])
+                    parts += [part] * span["times"]
+                texts.append(b"\n".join(parts).decode())
+            columns = [batch.column(c) for c in keep] + [pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
+
+    types = dict(rows.dtypes)
+    return rows.select(*keep, "text", "spans").mapInArrow(run, "".join(f"`{c}` {types[c]}, " for c in keep) + "text string")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, lang, source, n_chars) as the mix has them: of each document the words that it takes, repeats
+    included. Documents of which it takes none go; rows that repeat doc_id and text become one.
+    """
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", text_key())
+    mix = Mix(keyed.withColumn("size", word_count(F.col("text"))), carry=("text_key",))
+    spans = mix.row_spans().groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    once = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("source", "lang"))
+    rows = keyed.withColumn("copy", once).filter("copy = 1").drop("copy")
+    spans = spans.select(F.col("doc_id").alias("id"), F.col("text_key").alias("own_key"), "spans")
+    rows = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("own_key")))
+    out = span_texts(rows, "doc_id", "lang", "source")
+    return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))

@@ -179,8 +179,12 @@ def _span_batch(doc_id, key, lo, hi, at=None, gram=None, hot=None) -> pa.RecordB
 
 
 def _first_and_covered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts in the order of their grams, contexts and places; and whether one repeats the context before it."""
+    """Contexts in the order of their grams, contexts and places; and whether one repeats the context before it.
+
+    Rows that are equal in doc_id and text have the same places; those count once.
+    """
     found = found[np.lexsort((found["lo"], found["key"], found["doc_id"], found["context"], found["gram"]))]
+    found = found[np.concatenate([[True], found[1:] != found[:-1]])[: len(found)]]
     again = np.zeros(len(found), bool)
     again[1:] = (found["gram"][1:] == found["gram"][:-1]) & (found["context"][1:] == found["context"][:-1])
     return found, again
@@ -347,19 +351,20 @@ def _removed(rows: DataFrame, length: int, keep_text: bool) -> DataFrame:
                 pa.array(digests, pa.string()),
             ]
             if keep_text:
-                columns.append(pa.array(texts, pa.binary()))
+                columns.append(pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()))
             columns += [batch.column(c) for c in extra]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     extra = [c for c in rows.columns if c not in ("doc_id", "key", "text", "spans", "copy")]
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text, *extra]
     types = dict(rows.dtypes)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
     return rows.mapInArrow(run, schema + "".join(f", `{c}` {types[c]}" for c in extra))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, with ``keep_text`` also ``kept``, and ``carry``) of all rows.
+    ``kept`` is the text that is left, without the rests of code points that were cut.
 
     Each byte below a string of ``length`` bytes that also starts earlier is removed: in a document with a smaller
     doc_id, or further left in the same one. Null texts are empty. Null doc_ids come before all others. Rows that
