@@ -254,7 +254,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     parts = F.ceil(F.col("n") / BUCKET_ROWS).cast("int")
     shared = shared.select("band", "hash", "cid", "rep", parts.alias("parts"), F.pmod(F.xxhash64("cid"), parts).cast("int").alias("part"))
     shared = materialize(shared, "minhash-buckets")
-    own = shared.select(F.col("rep").alias("doc_id")).distinct()
+    # The same kind of join at every size, so that what is shuffled grows with the input.
+    own = shared.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
     sets = _sets(docs.join(own, "doc_id", "left_semi")).select(cid, "set").dropDuplicates(["cid"])
     sets = materialize(sets, "minhash-sets")
     keys = ["band", "hash", "part"]
