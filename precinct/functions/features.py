@@ -9,7 +9,18 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from precinct.schema import FLAG_LABELS, FLAGS, MULTIPLE, UNKNOWN, UNKNOWN_HOUR, WEEKDAY, WEEKEND, WEEKEND_DAYS
+from precinct.schema import (
+    DATE_PATTERN,
+    FLAG_LABELS,
+    FLAGS,
+    HOUR_PATTERN,
+    MULTIPLE,
+    UNKNOWN,
+    UNKNOWN_HOUR,
+    WEEKDAY,
+    WEEKEND,
+    WEEKEND_DAYS,
+)
 
 
 def whole_number(c: Column, dtype: str) -> Column:
@@ -26,13 +37,8 @@ def whole_number(c: Column, dtype: str) -> Column:
 
 
 def incident_date(c: Column) -> Column:
-    """Whole number ``yyyyMMdd`` to date; null when it is no valid date.
-
-    Spelling the digits out as an ISO date and casting costs about half of parsing with a pattern.
-    """
-    digits = c.try_cast("int").cast("string")
-    iso = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
-    return F.when(F.length(digits) == 8, iso.try_cast("date"))
+    """Whole number ``yyyyMMdd`` to date; null when it is no valid date."""
+    return F.try_to_date(c.try_cast("int").cast("string"), DATE_PATTERN)
 
 
 def day_type(date: Column, weekend: Iterable[int] = WEEKEND_DAYS) -> Column:
@@ -45,11 +51,9 @@ def month_key(date: Column) -> Column:
 
 
 def hour_bucket(c: Column) -> Column:
-    """First two digits of the first four-digit run; "00" for midnight, "UNK" without digits, null for null.
-
-    The fallback is appended to the text, so that one match finds either and nothing is matched twice.
-    """
-    found = F.regexp_extract(F.concat(c, F.lit(UNKNOWN_HOUR)), rf"\d{{2}}(?=\d{{2}})|{UNKNOWN_HOUR}$", 0)
+    """First two digits of the first four-digit run; "00" for midnight, "UNK" without digits, null for null."""
+    digits = F.regexp_extract(c, HOUR_PATTERN, 1)
+    found = F.when(F.length(digits) == 0, F.lit(UNKNOWN_HOUR)).otherwise(digits)
     return F.when(F.lower(c).contains("midnight"), F.lit("00")).otherwise(found)
 
 

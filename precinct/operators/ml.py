@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.schema import CATEGORICAL, NUMERIC
-from precinct.session import spread
+from precinct.session import spread_evenly
 
 
 def category_indexer(columns: Sequence[str] = CATEGORICAL) -> StringIndexer:
@@ -105,21 +104,21 @@ def input_columns(pipeline: Pipeline | PipelineModel) -> list[str]:
     return [c for c in dict.fromkeys(needed) if c and c not in made]
 
 
-def fit(pipeline: Pipeline, train: DataFrame, persist: bool = True) -> PipelineModel:
+def fit(
+    pipeline: Pipeline, train: DataFrame, partitions: int | None = None, keys: Sequence[str] = ("A_INCIDENT_ID",)
+) -> PipelineModel:
     """Fit on the columns the pipeline needs.
 
-    The passes of the indexers and of the estimator read the persisted rows. ``persist=False`` suits a large
-    ``train`` that is already a table of its own (``session.materialize``).
+    With ``partitions`` the rows are first brought into that many partitions by ``keys``, so that the model does
+    not depend on how they are stored. Nothing is persisted here: the indexers take one narrow pass each, and
+    the estimators keep their own blocks. A ``train`` that is costly to compute should be a table
+    (``session.materialize``).
     """
-    rows = train.select(*input_columns(pipeline))
-    busy = spread(rows)
-    if not persist and busy is rows:
-        return pipeline.fit(rows)
-    busy = busy.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(busy)
-    finally:
-        busy.unpersist()
+    needed = input_columns(pipeline)
+    if partitions is None:
+        return pipeline.fit(train.select(*needed))
+    rows = train.select(*dict.fromkeys([*needed, *keys]))
+    return pipeline.fit(spread_evenly(rows, partitions, *keys))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

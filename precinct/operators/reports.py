@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precinct.functions import fixed, key_values, minutes, run_stamp, thousands
@@ -151,11 +151,16 @@ def summary_lines(summary: DataFrame, title: str = TITLE) -> DataFrame:
     return _block(summary, 0, top).unionByName(_timing_lines(summary, 1)).unionByName(_block(summary, 2, end))
 
 
-def _titled(rows: DataFrame, section: int, header: str, line: Column, seq: Column, name: Column) -> list[DataFrame]:
-    """A blank line and a header before the rows, both only when there are rows."""
-    head = F.array(F.struct(F.lit(0).alias("i"), F.lit("").alias("text")), F.struct(F.lit(1).alias("i"), F.lit(header).alias("text")))
-    first = rows.limit(1).select(F.inline(head))
-    return [_lines(first, section, F.col("text"), F.col("i")), _lines(rows, section + 1, line, seq, name)]
+def _titled(rows: DataFrame, section: Column, header: Column, line: Column, seq: Column, name: Column, rank: Column) -> DataFrame:
+    """The rows, with a blank line and a header before the one of rank 1, in one projection."""
+
+    def entry(part: Column, number: Column, who: Column, text: Column) -> Column:
+        return F.struct(part.alias("section"), number.cast("bigint").alias("seq"), who.alias("name"), text.alias("line"))
+
+    own = F.array(entry(section + 1, seq, name, line))
+    none = F.lit("")
+    head = F.array(entry(section, F.lit(0), none, none), entry(section, F.lit(1), none, header))
+    return rows.select(F.inline(F.when(rank == 1, F.concat(head, own)).otherwise(own)))
 
 
 def text_report(
@@ -200,18 +205,22 @@ def text_report(
     if theft is not None:
         state, amount = (F.col(f"`{resolve_col(theft, c) or c}`") for c in ("state", "count"))
         shown = F.coalesce(state, F.lit(""))
-        parts += _titled(theft, 4, THEFT_HEADER, _line(ENTRY_LINE, shown, amount), -amount, shown)
+        # One row for each state: the window sees a result table.
+        rank = F.row_number().over(Window.orderBy(amount.desc(), shown))
+        rows = theft.withColumn("rank", rank)
+        parts.append(_titled(rows, F.lit(4), F.lit(THEFT_HEADER), _line(ENTRY_LINE, shown, amount), -amount, shown, F.col("rank")))
     if by_state is not None:
         shown = F.coalesce(F.col("state"), F.lit(""))
         present = [t for t in focus if resolve_col(by_state, t)]
         if present:
             pairs = key_values({t: F.col(t) for t in present})
-            rank = F.col("THEFT") if "THEFT" in present else F.col(present[0])
-            parts += _titled(
-                focus_top(by_state, focus, n), 6, FOCUS_HEADER, _line(ENTRY_LINE, shown, pairs), -rank, shown
-            )
-        tops = top_states_per_type(by_state, ranked, n)
-        for i, label in enumerate(ranked):
-            rows = tops.filter(F.col("INCIDENT_TYPE") == label)
-            parts += _titled(rows, 8 + 2 * i, TYPE_HEADER % label, _line(ENTRY_LINE, shown, count), -count, shown)
+            key = F.col("THEFT") if "THEFT" in present else F.col(present[0])
+            rows = focus_top(by_state, focus, n).withColumn("rank", F.row_number().over(Window.orderBy(key.desc(), shown)))
+            parts.append(_titled(rows, F.lit(6), F.lit(FOCUS_HEADER), _line(ENTRY_LINE, shown, pairs), -key, shown, F.col("rank")))
+        # All labels are ranked and formatted together; a label's place in the list gives its section.
+        rows = top_states_per_type(by_state, ranked, n)
+        label = F.col("INCIDENT_TYPE")
+        place = F.array_position(F.array(*map(F.lit, ranked)), label).cast("int")
+        header = F.format_string(TYPE_HEADER, label)
+        parts.append(_titled(rows, 6 + 2 * place, header, _line(ENTRY_LINE, shown, count), -count, shown, F.col("rank")))
     return reduce(DataFrame.unionByName, parts)

@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexerModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precinct import functions as fx
 from precinct.operators import analysis, clean, metrics, ml, reports, split
 from precinct.operators import runs as run_ops
+from precinct.plans import jobs
 from precinct.plans.jobs import aggregate_analysis
-from precinct.schema import CATEGORICAL, NUMERIC
-from precinct.session import materialize, scratch_path, spread
+from precinct.schema import ALGORITHM_NAMES, CATEGORICAL, NUMERIC
+from precinct.session import materialize, scratch_path
 from precinct.sources import (
+    describe_schema,
     incidents,
     load_tables,
     read_incidents_csv,
     read_incidents_parquet,
+    read_result_csv,
     read_run_summaries,
     resolve_col,
     runs,
@@ -25,6 +30,7 @@ from precinct.sources import (
     write_incidents_parquet,
     write_metrics,
     write_summary,
+    write_text,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,9 +92,66 @@ def resolve_columns(spark, folder):
 def parquet_month_counts(spark, folder):
     path = scratch_path(spark, "incidents-parquet")
     write_incidents_parquet(features(spark, folder), path)
-    return analysis.month_counts(read_incidents_parquet(spark, path)).select(
-        F.col("MONTH").cast("string").alias("MONTH"), "count"
+    return analysis.month_counts(read_incidents_parquet(spark, path))
+
+
+@query
+def csv_text_ids(spark, folder):
+    """Ids that are no numbers survive the trip through CSV and the split."""
+    path = scratch_path(spark, "incidents-csv")
+    ids = F.concat(F.lit("AB-"), F.lpad(F.col("incident_number").cast("string"), 9, "0"))
+    write_csv(incidents(spark, folder).withColumn("incident_number", ids), path)
+    back = clean.derive(read_incidents_csv(spark, path)).withColumn("is_train", split.in_train(F.col(ID)))
+    return back.agg(
+        F.count("*").alias("rows"), F.count_distinct(ID).alias("ids"), F.min(ID).alias("first_id"),
+        F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows"),
+    )
+
+
+@query
+def schema_report(spark, folder):
+    """Columns and types of the derived incidents, beside their number of rows."""
+    df = features(spark, folder).select("state", "INCIDENT_DATE", "TOTAL_DELITOS", "property_value", "INCIDENT_TYPE")
+    rows = df.agg(F.count("*").alias("rows"))
+    return describe_schema(df).join(rows)
+
+
+@query
+def result_csv(spark, folder):
+    """A result table written as CSV and read back with trimmed names; a missing one is None."""
+    path = scratch_path(spark, "result-csv")
+    write_csv(analysis.type_by_state(features(spark, folder), "THEFT").toDF(" state ", "count"), path)
+    absent = read_result_csv(spark, path + "-absent") is None
+    back = read_result_csv(spark, path, "state string, count bigint")
+    return back.select("state", "count", F.lit(absent).alias("absent_is_none"))
+
+
+@query
+def summaries_roundtrip(spark, folder):
+    """Several summaries in one file, read back with the defaults."""
+    a, b = _summaries(spark, folder)
+    path = scratch_path(spark, "summaries")
+    every = a.unionByName(b).unionByName(a.withColumn("algorithm", F.lit("again")))
+    write_summary(every.coalesce(1), path)
+    return read_run_summaries(spark, path).groupBy("algorithm").agg(
+        F.count("*").alias("records"), F.max("records_total").alias("records_total"), F.round(F.max("metrics.f1"), 6).alias("f1")
+    )
+
+
+@query
+def text_roundtrip(spark, folder):
+    """Report lines as text files, read back in the order of the files; equal counts stand in the order of names."""
+    counts = features(spark, folder).groupBy("state").agg(F.count("*").alias("n"))
+    coarse = F.floor(F.col("n") / 10).cast("bigint")
+    lines = counts.select(
+        F.lit(0).alias("section"), (-coarse).alias("seq"), F.col("state").alias("name"),
+        F.concat_ws(": ", F.col("state"), coarse.cast("string")).alias("line"),
     )
+    path = scratch_path(spark, "report-text")
+    write_text(lines, path)
+    back = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    # One line for each state: the window sees a report, not the incidents.
+    return back.select((F.row_number().over(Window.orderBy("file", "at")) - 1).cast("bigint").alias("line_number"), F.col("value").alias("line"))
 
 
 # --- Projections, filters, derived columns ---
@@ -210,12 +273,12 @@ def split_sizes(spark, folder):
 
 @query
 def random_split_sizes(spark, folder):
+    """Rows of both parts together, and whether the training share is within five standard deviations."""
     df = materialize(features(spark, folder).select(ID), "split")
-    parts = split.random_split(df)
-    sizes = [
-        p.agg(F.lit(name).alias("part"), F.count("*").alias("rows")) for name, p in zip(("train", "test"), parts)
-    ]
-    return sizes[0].unionByName(sizes[1])
+    train, test = split.random_split(df)
+    both = train.select(F.lit(1).alias("t")).unionByName(test.select(F.lit(0).alias("t")))
+    n, t = F.count("*"), F.sum("t")
+    return both.agg(n.alias("rows"), (F.abs(t - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("share_is_near"))
 
 
 @query
@@ -236,6 +299,21 @@ def stratified_sample(spark, folder):
     return sample.groupBy("INCIDENT_TYPE").count()
 
 
+@query
+def fine_split(spark, folder):
+    """A test part of a thousandth."""
+    train, test = split.hash_split(features(spark, folder), train=0.999)
+    rows = train.select(F.lit(1).alias("t")).unionByName(test.select(F.lit(0).alias("t")))
+    return rows.agg(F.sum("t").alias("train_rows"), F.sum(1 - F.col("t")).alias("test_rows"))
+
+
+@query
+def sample_then_split(spark, folder):
+    """Every label of a sample is in both parts of its split."""
+    sample = split.stratified_sample(features(spark, folder), {"THEFT": 0.5, "OTHER": 0.25, "SEX": 1.0})
+    return sample.groupBy("INCIDENT_TYPE", split.in_train(F.col(ID)).alias("is_train")).count()
+
+
 # --- Metrics on the rule-based predictors ---
 
 
@@ -299,6 +377,9 @@ def evaluation(spark, folder):
 
 # --- Models ---
 
+# Partitions of the training rows: a model of the catalog depends on the data alone.
+TRAIN_PARTITIONS = 8
+
 
 def _split_features(spark, folder):
     """Train and test rows of a table with the columns that models need; the joins run once."""
@@ -306,14 +387,27 @@ def _split_features(spark, folder):
     return split.hash_split(materialize(features(spark, folder).select(*columns), "features"))
 
 
+def _fitted(train, algorithm, **params):
+    return ml.fit(ml.build_pipeline(algorithm, **params), train, TRAIN_PARTITIONS)
+
+
 def _model_metrics(spark, folder, algorithm):
+    """Support of each class, and whether the fitted model beats the majority label and agrees with MLlib's evaluator."""
     train, test = _split_features(spark, folder)
-    model = ml.fit(ml.build_pipeline(algorithm), train, persist=False)
-    cells = materialize(metrics.confusion(ml.score(model, spread(test))), "confusion")
-    labels = ml.label_names(model)
-    return metrics.Evaluation(
-        cells, metrics.index_to_name(cells, labels), metrics.per_class_metrics(cells, labels), metrics.global_metrics(cells)
-    ).as_table()
+    model = _fitted(train, algorithm)
+    scored = materialize(ml.score(model, test).select("label", "prediction"), "scored")
+    cells = materialize(metrics.confusion(scored), "confusion")
+    overall = metrics.global_metrics(cells).first()
+    same = True
+    for name, value in (("accuracy", overall["accuracy"]), ("f1", overall["f1"])):
+        found = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=name).evaluate(scored)
+        same = same and abs(found - value) < 1e-9
+    table = metrics.per_class_metrics(cells, ml.label_names(model))
+    share = table.agg((F.max("support") / F.sum("support")).alias("share")).first()["share"]
+    return table.select(
+        "class", "support", F.lit(overall["scored_rows"]).alias("scored_rows"),
+        F.lit(overall["accuracy"] > share).alias("beats_majority"), F.lit(same).alias("equals_evaluator"),
+    )
 
 
 @query
@@ -328,25 +422,129 @@ def rf_metrics(spark, folder):
 
 @query
 def scored(spark, folder):
+    """Scored rows by true label; the confusion cells are named, not the rows."""
     train, test = _split_features(spark, folder)
-    model = ml.fit(ml.build_pipeline("lr"), train, persist=False)
-    out = ml.score(model, spread(test)).select(ID, "label", "prediction", F.lit(1).alias("count"))
-    names = metrics.index_to_name(out, ml.label_names(model))
-    return names.groupBy("true_label", "pred_label").agg(F.sum("count").alias("count"))
+    model = _fitted(train, "lr")
+    cells = metrics.index_to_name(metrics.confusion(ml.score(model, test)), ml.label_names(model))
+    return cells.groupBy("true_label").agg(F.sum("count").alias("count"))
 
 
 @query
 def model_roundtrip(spark, folder):
     train, test = _split_features(spark, folder)
-    model = ml.fit(ml.build_pipeline("lr", max_iter=10), train, persist=False)
+    model = _fitted(train, "lr", max_iter=10)
     path = scratch_path(spark, "model")
     ml.save_model(model, path)
-    once = ml.score(model, spread(test)).select(*test.columns, F.col("prediction").alias("before"))
+    once = ml.score(model, test).select(*test.columns, F.col("prediction").alias("before"))
     return ml.score(ml.load_model(path), once).agg(
         F.count("*").alias("scored_rows"), F.count_if(F.col("before") != F.col("prediction")).alias("different")
     )
 
 
+@query
+def algorithm_choice(spark, folder):
+    """The estimator that each name stands for, beside the training rows it would see; an unknown name is refused."""
+    train, _ = _split_features(spark, folder)
+    names = {name: type(ml.classifier(name)).__name__ for name in ALGORITHM_NAMES}
+    try:
+        ml.classifier("other")
+    except ValueError:
+        names["other"] = "refused"
+    entries = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("estimator")) for k, v in names.items()])
+    return train.agg(F.count("*").alias("train_rows")).select(F.inline(entries), "train_rows")
+
+
+def _positions(spark, values: dict[str, list[str]]) -> DataFrame:
+    """(column, value, idx) of the labels of fitted indexers: one row for each distinct value."""
+    rows = [(c, v, float(i)) for c, labels in values.items() for i, v in enumerate(labels)]
+    return spark.createDataFrame(rows, "column string, value string, idx double")
+
+
+@query
+def fitted_labels(spark, folder):
+    """The label order that the fitted indexer has and the model's names use."""
+    train, _ = _split_features(spark, folder)
+    model = ml.Pipeline(stages=[ml.label_indexer()]).fit(train)
+    return _positions(spark, {"INCIDENT_TYPE": ml.label_names(model)})
+
+
+@query
+def fitted_categories(spark, folder):
+    """The index of each value in the fitted category indexer, without its place for unseen values."""
+    train, _ = _split_features(spark, folder)
+    model = ml.Pipeline(stages=[ml.category_indexer()]).fit(train)
+    (stage,) = [s for s in model.stages if isinstance(s, StringIndexerModel)]
+    return _positions(spark, dict(zip(stage.getInputCols(), map(list, stage.labelsArray))))
+
+
+@query
+def calendar_features(spark, folder):
+    """Day of week and hour band as further categories of a model."""
+    df = features(spark, folder).withColumns(
+        {"day_of_week": F.dayofweek("INCIDENT_DATE").cast("string"), "hour_band": fx.hour_band(F.col("HOUR_BUCKET")).cast("string")}
+    )
+    columns = (*CATEGORICAL, "day_of_week", "hour_band")
+    train, test = split.hash_split(materialize(df.select(*columns, *NUMERIC, "INCIDENT_TYPE", ID), "features"))
+    model = _fitted(train, "lr", categorical=columns, max_iter=5)
+    widths = ml.category_sizes(model)
+    rows = ml.score(model, test).agg(F.count("*").alias("scored_rows"))
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(widths[c]).cast("bigint").alias("width")) for c in columns])
+    return rows.select(F.inline(entries), "scored_rows")
+
+
+# --- Whole jobs ---
+
+
+@query
+def training_job(spark, folder):
+    """The training job with its default model: counts of the summary and of every table that it wrote, read back."""
+    out = scratch_path(spark, "job")
+    jobs.train_and_evaluate(spark, incidents(spark, folder), out, "lr", "orders", key=ID, partitions=TRAIN_PARTITIONS)
+    summary = read_run_summaries(spark, f"{out}/summary_lr")
+    counts = ("records_total", "records_processed", "train_rows", "test_rows")
+    parts = [summary.select(F.inline(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).alias("value")) for c in counts])))]
+    for name, value in (
+        ("incident_type_distribution", F.sum("count")), ("theft_by_state", F.sum("count")), ("incident_types_by_state", F.sum("THEFT")),
+        ("per_class_metrics_lr", F.sum("support")), ("confusion_lr", F.sum("count")),
+    ):
+        table = read_result_csv(spark, f"{out}/{name}")
+        parts.append(table.agg(F.lit(name).alias("item"), value.cast("bigint").alias("value")))
+    report = jobs.report(spark, out)
+    parts.append(report.filter("section = 3").agg(F.lit("report_lines").alias("item"), F.count("*").alias("value")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every
+
+
+@query
+def model_comparison(spark, folder):
+    """Both fitted models side by side, with their default parameters."""
+    out = scratch_path(spark, "jobs")
+    raw = materialize(incidents(spark, folder), "incidents")
+    for algorithm in ALGORITHM_NAMES:
+        jobs.train_and_evaluate(spark, raw, out, algorithm, "orders", key=ID, partitions=TRAIN_PARTITIONS)
+    models, classes = jobs.comparison(spark, out)
+    classes = classes.groupBy("algorithm").agg(F.count("*").alias("classes"), F.sum("support").cast("bigint").alias("support"))
+    names = F.create_map(*[x for k, v in ALGORITHM_NAMES.items() for x in (F.lit(k), F.lit(v))])
+    classes = classes.withColumn("algorithm", names[F.col("algorithm")])
+    in_range = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)
+    return models.select("algorithm", "train_rows", "test_rows", in_range.alias("in_range")).join(classes, "algorithm")
+
+
+@query
+def retrained(spark, folder):
+    """Training on the first half of the months only, from incidents stored by month."""
+    path = scratch_path(spark, "incidents-parquet")
+    columns = [*CATEGORICAL, *NUMERIC, "INCIDENT_TYPE", ID]
+    write_incidents_parquet(features(spark, folder).select(*columns), path)
+    rows = read_incidents_parquet(spark, path).filter(F.col("MONTH").isin([str(m) for m in range(1, 7)]))
+    train, test = split.hash_split(rows)
+    model = _fitted(train, "lr", max_iter=5)
+    months = ml.category_sizes(model)["MONTH"]
+    return ml.score(model, test).agg(F.count("*").alias("scored_rows"), F.lit(months).cast("bigint").alias("months"))
+
+
 @query
 def feature_width(spark, folder):
     train, _ = _split_features(spark, folder)
@@ -397,7 +595,13 @@ def _summaries(spark, folder, cells=None):
 @query
 def run_summary(spark, folder):
     a, b = _summaries(spark, folder)
-    return a.unionByName(b)
+    stamp = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}Z$"
+    return a.unionByName(b).select(
+        F.col("run_timestamp").rlike(stamp).alias("stamped"), "data_file", "records_total", "records_processed", "train_rows",
+        "test_rows", "algorithm", "model_path", F.round("metrics.accuracy", 6).alias("accuracy"),
+        F.round("metrics.f1", 6).alias("f1"), F.size("timings_seconds").cast("bigint").alias("phases"),
+        F.array_join("features.numeric", ",").alias("numeric"), F.round("total_runtime_seconds", 2).alias("total_runtime_seconds"),
+    )
 
 
 @query
@@ -405,7 +609,7 @@ def run_summary_read(spark, folder):
     a, b = _summaries(spark, folder)
     path = scratch_path(spark, "summaries")
     write_summary(a.unionByName(b), path)
-    return read_run_summaries(spark, path, multi_line=False).select(
+    return read_run_summaries(spark, path).select(
         "algorithm",
         "data_file",
         "records_total",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precinct.functions import day_type, incident_date
 from precinct.operators import analysis, clean, metrics, ml, reports, split
 from precinct.schema import ALGORITHM_NAMES, WEEKEND_DAYS
-from precinct.session import fit_shuffle, input_bytes, scratch_tables, spread
+from precinct.session import scratch_tables, shuffle_partitions
 from precinct.sources import (
     read_result_csv,
     read_run_summaries,
@@ -42,15 +42,18 @@ def train_and_evaluate(
     random: bool = False,
     seed: int = 42,
     key: str = "A_INCIDENT_ID",
+    partitions: int | None = None,
+    shuffles: int | None = None,
     **params,
 ) -> DataFrame:
     """Derive features, write the result tables, fit, score, evaluate, save; returns the run summary.
 
     The raw rows are read once: the derived columns go to a table in the shared scratch folder, counted on
     the way, and all later passes read the columns they need from there. The test rows are scored once; every
-    metric comes from their confusion table.
+    metric comes from their confusion table. ``partitions`` is how many the training rows are brought into (as
+    they are stored if None), ``shuffles`` the initial shuffle partitions of the job (the session's if None);
+    ``session.partitions_for`` gives a number for an input size.
     """
-    fit_shuffle(spark, input_bytes(raw))
     timings: dict[str, float] = {}
     started = time.time()
 
@@ -61,7 +64,7 @@ def train_and_evaluate(
         timings[name] = time.time() - begin
 
     model_path = f"{out}/models/{algorithm}"
-    with scratch_tables(spark) as table:
+    with shuffle_partitions(spark, shuffles), scratch_tables(spark) as table:
         with phase("feature_engineering_seconds"):
             seen = Observation()
             counted = raw.observe(seen, F.count("*").alias("records_total"))
@@ -94,10 +97,10 @@ def train_and_evaluate(
                 )
 
         with phase("fit_seconds"):
-            model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, persist=False)
+            model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, partitions, (key,))
 
         with phase("evaluate_seconds"):
-            confusion = table(metrics.confusion(ml.score(model, spread(test_rows))), "confusion")
+            confusion = table(metrics.confusion(ml.score(model, test_rows)), "confusion")
             labels = ml.label_names(model)
             write_csv(metrics.index_to_name(confusion, labels), f"{out}/confusion_{algorithm}")
             write_csv(metrics.per_class_metrics(confusion, labels), f"{out}/per_class_metrics_{algorithm}")

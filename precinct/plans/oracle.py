@@ -55,7 +55,9 @@ features AS (
          coalesce(total_offender, 0) AS total_offender, gun_involvement, drug_involvement, stolen_motor,
          coalesce(property_value, 0.0) AS property_value,
          violence_offense, theft_offense, drug_offense, sex_offense, kidnapping_trafficking, other_offense,
-         CAST('0x' || substr(md5(CAST(incident_number AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS pct
+         CAST('0x' || substr(md5('split' || CAST(incident_number AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 * 100 AS pct,
+         CAST('0x' || substr(md5('sample' || CAST(incident_number AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 * 100
+           AS sample_pct
   FROM dated)"""
 )
 
@@ -175,6 +177,22 @@ _WIDTHS = "\nUNION ALL ".join(
 UNION ALL SELECT 'features', {' + '.join(f'count(DISTINCT {c})' for c in CATEGORICAL)} + {len(NUMERIC)}, count(*)
 FROM features WHERE pct < 80"""
 
+_CALENDAR = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(DISTINCT {e}) AS width,
+  (SELECT count(*) FROM features WHERE pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict)) AS scored_rows
+FROM features WHERE pct < 80"""
+    for c, e in [
+        *((c, c) for c in CATEGORICAL), ("day_of_week", "dayofweek(INCIDENT_DATE)"),
+        ("hour_band", "floor(TRY_CAST(HOUR_BUCKET AS INTEGER) / 6)"),
+    ]
+)
+_MODEL = _sql(
+    _LABELS,
+    """SELECT INCIDENT_TYPE AS class, (SELECT count(*) FROM features f WHERE pct >= 80 AND f.INCIDENT_TYPE = dict.INCIDENT_TYPE)
+  AS support, (SELECT count(*) FROM features WHERE pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict)) AS scored_rows,
+  true AS beats_majority, true AS equals_evaluator FROM dict""",
+)
+
 _HEAD_LINES = [
     "'Resumen - Clasificación MLlib'",
     "'Fuente: orders'",
@@ -303,8 +321,93 @@ FROM features GROUP BY 1, 2""",
     "stratified_sample": _sql(
         _FEATURES,
         """SELECT INCIDENT_TYPE, count(*) AS "count" FROM features
-WHERE pct < CASE INCIDENT_TYPE WHEN 'THEFT' THEN 50 WHEN 'OTHER' THEN 10 WHEN 'SEX' THEN 100 END
+WHERE sample_pct < CASE INCIDENT_TYPE WHEN 'THEFT' THEN 50 WHEN 'OTHER' THEN 10 WHEN 'SEX' THEN 100 END
 GROUP BY INCIDENT_TYPE""",
+    ),
+    "fine_split": _sql(
+        _FEATURES,
+        "SELECT count(*) FILTER (WHERE pct < 99.9) AS train_rows, count(*) FILTER (WHERE pct >= 99.9) AS test_rows FROM features",
+    ),
+    "sample_then_split": _sql(
+        _FEATURES,
+        """SELECT INCIDENT_TYPE, pct < 80 AS is_train, count(*) AS "count" FROM features
+WHERE sample_pct < CASE INCIDENT_TYPE WHEN 'THEFT' THEN 50 WHEN 'OTHER' THEN 25 WHEN 'SEX' THEN 100 END
+GROUP BY 1, 2""",
+    ),
+    "random_split_sizes": _sql(_FEATURES, "SELECT count(*) AS rows, true AS share_is_near FROM features"),
+    "lr_metrics": _MODEL,
+    "rf_metrics": _MODEL,
+    "scored": _sql(
+        _LABELS,
+        """SELECT INCIDENT_TYPE AS true_label, count(*) AS "count" FROM features
+WHERE pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict) GROUP BY INCIDENT_TYPE""",
+    ),
+    "algorithm_choice": _sql(
+        _FEATURES,
+        """SELECT unnest(['lr', 'rf', 'other']) AS name,
+  unnest(['LogisticRegression', 'RandomForestClassifier', 'refused']) AS estimator, count(*) AS train_rows
+FROM features WHERE pct < 80""",
+    ),
+    "fitted_labels": _sql(_LABELS, "SELECT 'INCIDENT_TYPE' AS \"column\", INCIDENT_TYPE AS value, label AS idx FROM dict"),
+    "fitted_categories": _sql(_FEATURES, f'SELECT "column", value, idx FROM ({_CATEGORIES})'),
+    "calendar_features": _sql(_LABELS, _CALENDAR),
+    "training_job": _sql(
+        _SUMMARIES + _BY_STATE,
+        """SELECT unnest(['records_total', 'records_processed', 'train_rows', 'test_rows']) AS item,
+  unnest([records_total, records_processed, train_rows, test_rows]) AS value FROM counts
+UNION ALL SELECT 'incident_type_distribution', count(*) FROM features
+UNION ALL SELECT 'theft_by_state', count(*) FROM features WHERE INCIDENT_TYPE = 'THEFT'
+UNION ALL SELECT 'incident_types_by_state', CAST(sum(THEFT) AS BIGINT) FROM by_state
+UNION ALL SELECT unnest(['per_class_metrics_lr', 'confusion_lr']), count(*) FROM features
+  WHERE pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict)
+UNION ALL SELECT 'report_lines', count(DISTINCT INCIDENT_TYPE) FROM features""",
+    ),
+    "model_comparison": _sql(
+        _LABELS,
+        """SELECT unnest(['LogisticRegression(multinomial)', 'RandomForestClassifier']) AS algorithm,
+  count(*) FILTER (WHERE pct < 80) AS train_rows, count(*) FILTER (WHERE pct >= 80) AS test_rows, true AS in_range,
+  (SELECT count(*) FROM dict) AS classes,
+  count(*) FILTER (WHERE pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict)) AS support FROM features""",
+    ),
+    "retrained": _sql(
+        _FEATURES,
+        """SELECT count(*) FILTER (WHERE pct >= 80 AND INCIDENT_TYPE IN (
+    SELECT INCIDENT_TYPE FROM features WHERE pct < 80 AND CAST(MONTH AS INTEGER) <= 6)) AS scored_rows,
+  count(DISTINCT MONTH) FILTER (WHERE pct < 80) AS months FROM features WHERE CAST(MONTH AS INTEGER) <= 6""",
+    ),
+    "csv_text_ids": _sql(
+        _FEATURES,
+        """SELECT count(*) AS rows, count(DISTINCT id) AS ids, min(id) AS first_id,
+  count(*) FILTER (WHERE h < 0.8) AS train_rows, count(*) FILTER (WHERE h >= 0.8) AS test_rows
+FROM (SELECT id, CAST('0x' || substr(md5('split' || id), 1, 8) AS BIGINT) / 4294967296.0 AS h
+  FROM (SELECT 'AB-' || lpad(CAST(A_INCIDENT_ID AS VARCHAR), 9, '0') AS id FROM features))""",
+    ),
+    "schema_report": _sql(
+        _FEATURES,
+        """SELECT unnest([0, 1, 2, 3, 4]) AS position,
+  unnest(['state', 'INCIDENT_DATE', 'TOTAL_DELITOS', 'property_value', 'INCIDENT_TYPE']) AS name,
+  unnest(['string', 'date', 'int', 'double', 'string']) AS type, count(*) AS rows FROM features""",
+    ),
+    "result_csv": _sql(
+        _FEATURES,
+        """SELECT state, count(*) AS "count", true AS absent_is_none FROM features
+WHERE INCIDENT_TYPE = 'THEFT' GROUP BY state""",
+    ),
+    "summaries_roundtrip": _sql(
+        _SUMMARIES,
+        """SELECT algorithm, CAST(1 AS BIGINT) AS records, records_total, round(f1, 6) AS f1 FROM summaries
+UNION ALL SELECT 'again', 1, records_total, round(f1, 6) FROM summaries WHERE priority = 2""",
+    ),
+    "text_roundtrip": _sql(
+        _FEATURES,
+        """SELECT row_number() OVER (ORDER BY n DESC, state) - 1 AS line_number, state || ': ' || n AS line
+FROM (SELECT state, count(*) // 10 AS n FROM features GROUP BY state)""",
+    ),
+    "run_summary": _sql(
+        _SUMMARIES,
+        """SELECT true AS stamped, 'orders' AS data_file, records_total, records_processed, train_rows, test_rows, algorithm,
+  'models/' || split_part(algorithm, ' by ', 2) AS model_path, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, phases,
+  '""" + ",".join(NUMERIC) + """' AS "numeric", round(seconds, 2) AS total_runtime_seconds FROM summaries""",
     ),
     "label_dictionary": _sql(_LABELS, "SELECT * FROM dict"),
     "category_index": _sql(_FEATURES, _CATEGORIES),

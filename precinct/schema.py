@@ -16,6 +16,8 @@ WEEKDAY = "DIA_SEMANA"
 WEEKEND = "FIN_SEMANA"
 WEEKEND_DAYS = (6, 7)
 UNKNOWN_HOUR = "UNK"
+HOUR_PATTERN = r"(\d{2})\d{2}"
+DATE_PATTERN = "yyyyMMdd"
 
 # Flag column -> label, in order of priority.
 FLAG_LABELS = {
@@ -52,7 +54,7 @@ ALGORITHM_NAMES = {"lr": "LogisticRegression(multinomial)", "rf": "RandomForestC
 
 INCIDENT_SCHEMA = T.StructType(
     [
-        T.StructField("incident_number", T.LongType()),
+        T.StructField("incident_number", T.StringType()),
         T.StructField("state", T.StringType()),
         T.StructField("date_HRF", T.IntegerType()),
         T.StructField("hour", T.StringType()),

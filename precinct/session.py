@@ -10,9 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Input per shuffle partition. The columns that get shuffled are about a quarter of the input, so this gives
-# partitions of some 128 MB. The upper bound keeps the number of shuffle blocks (map tasks times partitions) sane.
+# partitions of some 128 MB.
 SHUFFLE_INPUT_BYTES = 512 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def local_session(app: str = "precinct", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -33,42 +33,36 @@ def local_session(app: str = "precinct", cores: int | str = "*", **conf: str) ->
     return spark
 
 
-def input_bytes(*frames: DataFrame) -> int:
-    """Total size of the scans below the given frames as the file index knows it; no job is run."""
-    total = 0
-    for frame in frames:
-        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return total
+def partitions_for(nbytes: int) -> int:
+    """Shuffle partitions for a job over ``nbytes`` of input."""
+    return max(1, -(-nbytes // SHUFFLE_INPUT_BYTES))
 
 
-def fit_shuffle(spark: SparkSession, nbytes: int) -> int:
-    """Raise (never lower) the number of initial shuffle partitions to fit ``nbytes`` of input.
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Runs the jobs inside with ``n`` initial shuffle partitions, or as the session says if it is None.
 
     Adaptive execution merges partitions that turn out small but never splits an ordinary one, so the
-    initial number has to be high enough for the data. Returns the number in force.
+    initial number has to be high enough for the data. The session's own setting is put back at the end.
     """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(-(-nbytes // SHUFFLE_INPUT_BYTES), MAX_SHUFFLE_PARTITIONS)
-    if needed > current:
-        spark.conf.set(key, str(needed))
-        return needed
-    return current
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        if n is not None:
+            spark.conf.set(INITIAL_PARTITIONS, str(n))
+        yield
+    finally:
+        if n is not None and before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        elif n is not None:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as the cluster has cores.
+def spread_evenly(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """``df`` in so many partitions by its keys, each in their order; as it is stored if ``partitions`` is None.
 
-    For work that is heavy per row, such as training. Only input whose file splits would leave more than
-    half of the cores idle is shuffled.
+    What depends on partitions, such as the bootstrap of a forest, then depends on this number alone.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    ))
-    return df.repartition(cores) if 2 * input_bytes(df) < cores * split else df
+    return df if partitions is None else df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

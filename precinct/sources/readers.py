@@ -37,7 +37,7 @@ def read_incidents_csv(
 
     ``path`` is one path, a glob or a list; ``file_filter`` restricts folders to a file-name pattern.
     Columns are matched to ``schema`` by header name, whatever their order, without a pass over the data:
-    only the first line of one file is looked at. ``infer=True`` infers the types instead (one more pass).
+    only the first line of one file is looked at. The id is text, so ids of any form are kept. ``infer=True`` infers the types instead (one more pass).
     """
     reader = spark.read.option("header", True)
     if file_filter:
@@ -60,15 +60,20 @@ def read_incidents_csv(
     return df.select(*[typed(name, dtype) for name, dtype in df.dtypes])
 
 
-def read_incidents_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Incidents stored as Parquet: vectorised, pruned and filtered in the scan."""
-    return spark.read.parquet(*([path] if isinstance(path, str) else path))
+def read_incidents_parquet(spark: SparkSession, path: str | list[str], text: tuple[str, ...] = ("MONTH",)) -> DataFrame:
+    """Incidents stored as Parquet: vectorised, pruned and filtered in the scan.
+
+    Folders named by a column give it back as a number; the ``text`` columns become text again.
+    """
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    return df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if c in text and kind != "string"})
 
 
-def read_run_summaries(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+def read_run_summaries(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Run-summary JSON files; ``path`` may be a glob over many runs.
 
-    ``multi_line`` suits one (indented) object per file; set it to False for files with one object per line.
+    By default each line is one object, as ``write_summary`` puts them; ``multi_line`` suits one indented object
+    per file.
     """
     return spark.read.schema(SUMMARY_SCHEMA).json(path, multiLine=multi_line)
 

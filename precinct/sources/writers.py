@@ -20,7 +20,7 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 def write_text(lines: DataFrame, path: str) -> None:
     """Report lines of ``reports.text_report`` in their order; files sort by name in the same order."""
-    lines.orderBy("section", "seq").select("line").write.mode("overwrite").text(path)
+    lines.orderBy("section", "seq", "name").select("line").write.mode("overwrite").text(path)
 
 
 def write_incidents_parquet(

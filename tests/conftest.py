@@ -8,8 +8,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores=8, **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", cores=8, **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

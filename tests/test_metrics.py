@@ -96,8 +96,8 @@ def test_cells_equal_row_level_predictions(features):
     rows = features.select("A_INCIDENT_ID", "state", "INCIDENT_TYPE").toPandas()
     import hashlib
 
-    pct = rows["A_INCIDENT_ID"].map(lambda i: int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 100)
-    train, test = rows[pct < 80], rows[pct >= 80]
+    part = rows["A_INCIDENT_ID"].map(lambda i: int(hashlib.md5(f"split{i}".encode()).hexdigest()[:8], 16) / 2**32)
+    train, test = rows[part < 0.8], rows[part >= 0.8]
     best = {}
     for state, part in train.groupby("state"):
         best[state] = min(Counter(part["INCIDENT_TYPE"]).items(), key=lambda kv: (-kv[1], kv[0]))[0]

@@ -89,7 +89,7 @@ def test_lr_learns_the_planted_signal(parts, lr):
 
 
 def test_rf_learns_the_planted_signal(parts):
-    model = fit(build_pipeline("rf", num_trees=10, max_depth=6), parts[0], persist=False)
+    model = fit(build_pipeline("rf", num_trees=10, max_depth=6), parts[0])
     assert global_metrics(confusion(score(model, parts[1]))).first()["accuracy"] > 0.5
 
 
@@ -122,3 +122,28 @@ def test_class_weights(parts):
     assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(total)
     model = fit(build_pipeline("lr", max_iter=3, weightCol="weight"), weighted)
     assert score(model, parts[1]).count() > 0
+
+
+def test_forest_depends_on_the_partitions_parameter_alone(features, parts):
+    """The same rows, stored in other partitions, give the same predictions."""
+    train, test = parts
+    columns = [*CATEGORICAL, *NUMERIC, "INCIDENT_TYPE", "A_INCIDENT_ID"]
+    found = []
+    for stored in (2, 7):
+        model = fit(build_pipeline("rf", num_trees=5, max_depth=5), train.select(*columns).repartition(stored), 4)
+        found.append({r[0]: r[1] for r in score(model, test).select("A_INCIDENT_ID", "prediction").collect()})
+    assert found[0] == found[1]
+
+
+def test_small_fractions_and_null_keys(spark):
+    df = spark.range(20_000).selectExpr("id AS k", "'A' AS label").unionByName(
+        spark.range(5).selectExpr("CAST(NULL AS BIGINT) AS k", "'A' AS label")
+    )
+    train, test = hash_split(df, "k", 0.999)
+    assert train.count() + test.count() == 20_005 and 5 <= test.count() <= 45
+    sample = stratified_sample(df, {"A": 0.004}, "label", "k")
+    assert 45 <= sample.count() <= 125
+    assert stratified_sample(df, {"A": 1.0}, "label", "k").count() == 20_005
+    inside = stratified_sample(df, {"A": 0.5}, "label", "k")
+    share = hash_split(inside, "k")[1].count() / inside.count()
+    assert 0.17 < share < 0.23  # the sample does not decide about the split

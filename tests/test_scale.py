@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import assert_same
-from precinct.session import fit_shuffle, input_bytes, materialize
+from precinct.session import INITIAL_PARTITIONS, materialize, partitions_for, shuffle_partitions
 from precinct.sources import load_tables
 
 LAZY = [n for n in entry.queries() if n not in ("lr_metrics", "rf_metrics", "scored", "model_roundtrip", "feature_width")]
@@ -52,17 +52,26 @@ def test_top_ten_needs_no_full_sort(spark, folder):
     assert "TakeOrderedAndProject" in executed(entry.queries()["weekly_top10"](spark, folder))
 
 
-def test_shuffle_is_sized_upwards_only(spark, folder):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert input_bytes(*load_tables(spark, folder, "lineitem")) > 50_000
-    try:
-        before = fit_shuffle(spark, 1)
-        assert before == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert fit_shuffle(spark, 2**40) == 2048
-        assert fit_shuffle(spark, 100 * 2**40) == 50_000
-        assert fit_shuffle(spark, 1) == 50_000
-    finally:
-        spark.conf.unset(key)
+def test_shuffle_size_belongs_to_a_job(spark):
+    assert [partitions_for(n) for n in (0, 1, 2**40, 100 * 2**40)] == [1, 1, 2048, 204_800]
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    with shuffle_partitions(spark, 77):
+        assert spark.conf.get(INITIAL_PARTITIONS) == "77"
+    with pytest.raises(ZeroDivisionError), shuffle_partitions(spark, 78):
+        1 / 0
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+def test_queries_leave_the_session_as_it_is(spark, folder):
+    settings = lambda: {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql")}
+    before = settings()
+    for name in ("weekly_offenses", "run_stats", "retrained", "training_job"):
+        entry.queries()[name](spark, folder).count()
+    assert settings() == before
+
+
+def test_line_items_are_not_expanded(spark, folder):
+    assert "Expand" not in executed(entry.queries()["features_base"](spark, folder))
 
 
 @pytest.fixture(scope="module")

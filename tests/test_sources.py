@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from precinct.operators import derive, label_distribution, standardize
 from precinct.schema import INCIDENT_SCHEMA
-from precinct.session import scratch_path
+from precinct.session import materialize, scratch_path
 from precinct.sources import (
     describe_schema,
     incidents,
@@ -34,20 +34,20 @@ def csv_dir(tmp_path):
 def test_csv_columns_are_matched_by_name(spark, csv_dir):
     df = read_incidents_csv(spark, str(csv_dir))
     types = dict(df.dtypes)
-    assert types["total_offense"] == "int" and types["ORI"] == "string" and types["incident_number"] == "bigint"
+    assert types["total_offense"] == "int" and types["ORI"] == "string" and types["incident_number"] == "string"
     rows = {r["incident_number"]: r for r in df.collect()}
-    assert rows[1]["state"] == "UT" and rows[1]["total_offense"] == 2 and rows[1]["property_value"] == 10.5
-    assert rows[2]["total_offense"] is None and rows[2]["property_value"] is None and rows[2]["hour"] is None
-    assert rows[3]["total_offense"] == 4 and rows[3]["violence_offense"] is None
+    assert rows["1"]["state"] == "UT" and rows["1"]["total_offense"] == 2 and rows["1"]["property_value"] == 10.5
+    assert rows["2"]["total_offense"] is None and rows["2"]["property_value"] is None and rows["2"]["hour"] is None
+    assert rows["3"]["total_offense"] == 4 and rows["3"]["violence_offense"] is None
 
 
 def test_csv_paths_and_patterns(spark, csv_dir):
     def ids(df):
         return sorted(r[0] for r in df.select("incident_number").collect())
 
-    assert ids(read_incidents_csv(spark, str(csv_dir / "*_2020.csv"))) == [1, 2]
-    assert ids(read_incidents_csv(spark, [str(csv_dir / "a_2020.csv"), str(csv_dir / "b_2021.csv")])) == [1, 2, 3]
-    assert ids(read_incidents_csv(spark, str(csv_dir), file_filter="*_2021.csv")) == [3]
+    assert ids(read_incidents_csv(spark, str(csv_dir / "*_2020.csv"))) == ["1", "2"]
+    assert ids(read_incidents_csv(spark, [str(csv_dir / "a_2020.csv"), str(csv_dir / "b_2021.csv")])) == ["1", "2", "3"]
+    assert ids(read_incidents_csv(spark, str(csv_dir), file_filter="*_2021.csv")) == ["3"]
 
 
 def test_csv_files_with_another_header_are_refused(spark, csv_dir):
@@ -74,6 +74,7 @@ def test_csv_scan_is_pruned(spark, csv_dir):
 def test_csv_and_tables_agree(spark, folder, tmp_path):
     path = str(tmp_path / "incidents")
     raw = incidents(spark, folder)
+    raw = raw.withColumn("incident_number", raw["incident_number"].cast("string"))
     write_csv(raw, path)
     back = read_incidents_csv(spark, path)
     assert back.dtypes == raw.dtypes == [(f.name, f.dataType.simpleString()) for f in INCIDENT_SCHEMA.fields]
@@ -117,12 +118,12 @@ def test_summaries(spark, tmp_path):
     record = {"algorithm": "LR", "metrics": {"accuracy": 0.5, "f1": 0.25}, "timings_seconds": {"fit": 2.0}, "train_rows": 8}
     for i in range(2):
         (tmp_path / f"s{i}.json").write_text(json.dumps(record | {"records_total": i}, indent=2))
-    df = read_run_summaries(spark, str(tmp_path / "s*.json"))
+    df = read_run_summaries(spark, str(tmp_path / "s*.json"), multi_line=True)
     rows = df.orderBy("records_total").collect()
     assert [r["records_total"] for r in rows] == [0, 1]
     assert rows[0]["metrics"]["f1"] == 0.25 and rows[0]["timings_seconds"] == {"fit": 2.0} and rows[0]["features"] is None
     write_summary(df.coalesce(1), str(tmp_path / "out"))
-    assert read_run_summaries(spark, str(tmp_path / "out"), multi_line=False).count() == 2
+    assert read_run_summaries(spark, str(tmp_path / "out")).count() == 2
     write_metrics(df, str(tmp_path / "m"))
     write_metrics(df, str(tmp_path / "m"))
     assert spark.read.parquet(str(tmp_path / "m")).count() == 4
@@ -143,10 +144,26 @@ def test_schema_report(spark, folder):
 
 
 def test_scratch_folder_is_the_shared_one(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir")
     path = scratch_path(spark, "a")
-    assert path.startswith(shared) if shared else "precinct-" in path
-    assert path != scratch_path(spark, "a")
+    assert path.startswith(f"{shared}/a-") and path != scratch_path(spark, "a")
+    assert materialize(spark.range(3), "numbers").inputFiles()[0].startswith(f"file://{shared}/numbers-")
+
+
+def test_summaries_and_text_round_trip(spark, tmp_path):
+    """Written and read back with the defaults: every record, and equal counts in the order of their names."""
+    rows = spark.range(3).selectExpr("CAST(id AS STRING) AS algorithm", "id AS records_total")
+    write_summary(rows.coalesce(1), str(tmp_path / "summaries"))
+    assert read_run_summaries(spark, str(tmp_path / "summaries")).count() == 3
+    lines = spark.createDataFrame([(0, -5, n, n) for n in "dbca"], "section int, seq long, name string, line string")
+    write_text(lines.coalesce(1), str(tmp_path / "lines"))
+    assert "".join(r[0] for r in spark.read.text(str(tmp_path / "lines")).collect()) == "abcd"
+
+
+def test_text_ids_are_kept(spark, tmp_path):
+    (tmp_path / "ids.csv").write_text("incident_number,total_offense\nAB-1,1\n007,2\n")
+    rows = read_incidents_csv(spark, str(tmp_path / "ids.csv")).collect()
+    assert sorted(r["incident_number"] for r in rows) == ["007", "AB-1"]
 
 
 def test_features_are_native(features):
