@@ -24,7 +24,7 @@ from precinct.sources import incidents, read_incidents_csv, write_csv  # noqa: E
 
 
 def main(scratch: str, algorithm: str = "lr", cores: str = "2", copies: str = "61") -> None:
-    spark = local_session("full-size", cores)
+    spark = local_session("full-size", cores, **{"spark.checkpoint.dir": str(Path(scratch).resolve())})
     path = Path(scratch) / f"incidents-{copies}"
     if not (path / "_SUCCESS").exists():
         base = incidents(spark, "/root/testdata/sf0.1")
