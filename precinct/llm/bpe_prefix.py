@@ -23,8 +23,8 @@ from precinct.llm.pretokens import PieceTable, split_pieces
 
 _SPAN = 1 << 20
 # Bound of the memory for pairs that were judged already; it only saves time.
-_JUDGED = 400_000
-BATCH_BYTES = 2 << 20
+_JUDGED = 100_000
+BATCH_BYTES = 1 << 19
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from precinct.session import materialize
 
 # Bytes of text that a task works on at once; a longer text is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2^64
@@ -32,7 +32,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string or binary column, without a copy, and the row offsets into them; null is empty."""
+    """The UTF-8 bytes of a string or binary column, without a copy, and the row offsets into them; null is empty.
+
+    What the batches before have left in Arrow's memory pool goes back to the system.
+    """
+    pa.default_memory_pool().release_unused()
     if column.null_count:
         column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -84,7 +88,7 @@ class RollingHash:
     def __init__(self, words: np.ndarray):
         n = len(words) + 1
         if len(self._powers) < n:
-            size = max(n, 2 * CHUNK_BYTES)
+            size = max(CHUNK_BYTES + 1, 1 << n.bit_length())
             inverse = pow(_BASE, -1, 1 << 64)
             RollingHash._powers = self._table(_BASE, size)
             RollingHash._inverses = self._table(inverse, size)

@@ -22,7 +22,7 @@ UNKNOWN = "und"
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, REFERENCE_BYTES = 64, 512, 16384
 # A document is parsed in segments of this many symbols, all of them side by side.
 SEGMENT = 1024
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 LETTER = r"\p{L}"
 
 

@@ -85,7 +85,7 @@ def split_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class PieceTable:
     """Ids of the distinct pieces seen so far, by 64-bit hash, up to a bound; beyond it the table starts anew."""
 
-    def __init__(self, encode_misses: Callable[[list[bytes]], list[list[int]]], most: int = 1_000_000):
+    def __init__(self, encode_misses: Callable[[list[bytes]], list[list[int]]], most: int = 250_000):
         self.encode_misses, self.most = encode_misses, most
         self._reset()
 

@@ -39,7 +39,7 @@ _HEADER = struct.Struct("<4sHHIIqq")
 NO_ID = -(1 << 63)
 BLOCK_IDS = 4096
 SEGMENT_IDS = 1 << 20
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 END_ID = 0
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
