@@ -164,7 +164,7 @@ class Mix:
             "source_no int, name string, source_size long, target double",
         )
         self.source_sizes, self.targets, self.wanted = sizes, aims, wanted
-        numbered = light.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+        numbered = light.join(names, F.col("source").eqNullSafe(F.col("name"))).drop("name")
         order = [F.col("doc_id").asc_nulls_last(), F.col("size"), *carry]
         placed = running_sums(
             numbered, ["source_no"], "bucket", order, {"start": F.col("size"), "number": F.lit(1).cast("long")}

@@ -75,6 +75,34 @@ def op5_repeated_strings(spark, folder):
     return substrings.remove_repeats(read_table(spark, folder, "documents"))
 
 
+ORACLE["op5_repeated_strings"] = """
+WITH docs AS (
+  SELECT doc_id, b, octet_length(b) AS n FROM (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents)),
+windows AS (
+  SELECT doc_id, i, md5(array_slice(b, i + 1, i + 100)) AS w
+  FROM (SELECT doc_id, b, unnest(range(n - 99)) AS i FROM docs WHERE n >= 100)),
+later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM later),
+numbered AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (
+  SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi FROM numbered GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS z FROM spans
+  UNION ALL
+  SELECT doc_id, coalesce(max(hi), 0), any_value(n) FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, unhex(string_agg(CASE WHEN z > a THEN hex(array_slice(b, a + 1, z)) ELSE '' END, '' ORDER BY a)) AS k
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(hi - lo) AS removed, count(*) AS runs FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans,
+  sha256(k) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+
 @query
 def op6_resharding(spark, folder):
     docs = sharding.old_layout(read_table(spark, folder, "documents"))
