@@ -6,7 +6,9 @@ its context. Windows can only repeat between contexts with the same 32-gram:
 
 1. Each task finds the contexts of its documents. Of equal contexts the later ones are covered by the first.
 2. Contexts meet by the hash of their 32-gram. One that is alone is clean, equal ones are settled as in step 1, and of
-   each different one the first is passed on.
+   each different one the first is passed on. Where a task sees a 32-gram with many different contexts it is shared for
+   certain: then these meet by the hash of 32-gram and context, so that no task gets all of a common one, and one of them
+   also goes where its 32-gram is looked at.
 3. Those get their bytes. In each group, the part of a context that no other one of the group shares around the
    32-gram is cut off; equal rests are settled as before.
 4. The different rests, many groups at once, are one text for a suffix array built by linear grouping. Neighbours with 100
@@ -31,6 +33,8 @@ from precinct.session import materialize
 LENGTH, GRAM = 100, 32
 # Bytes of text for one suffix array, and different contexts of a 32-gram that one task compares at once.
 ARRAY_BYTES, GROUP_ROWS = 1 << 16, 20_000
+# Different contexts of a 32-gram in one piece of text, from which on they are spread over the buckets.
+CROWD = 8
 NO_ID = -(1 << 63)
 
 _CONTEXT = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc_id", "<i8"), ("key", "<u4"), ("lo", "<i4"), ("reach", "u1"), ("at", "u1")])
@@ -168,14 +172,14 @@ class RepeatFinder:
 
 # --- The distributed steps ---
 
-_SPANS = "doc_id long, key long, lo int, hi int, at int, gram long, hot boolean"
+_SPANS = "doc_id long, key long, lo int, hi int, at int, gram long"
 
 
-def _span_batch(doc_id, key, lo, hi, at=None, gram=None, hot=None) -> pa.RecordBatch:
+def _span_batch(doc_id, key, lo, hi, at=None, gram=None) -> pa.RecordBatch:
     n = len(lo)
     columns = [pa.array(doc_id, pa.int64()), pa.array(key, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())]
-    columns += [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in ((at, pa.int32()), (gram, pa.int64()), (hot, pa.bool_()))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lo", "hi", "at", "gram", "hot"])
+    columns += [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in ((at, pa.int32()), (gram, pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lo", "hi", "at", "gram"])
 
 
 def _first_and_covered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +195,10 @@ def _first_and_covered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Step 1: (bucket, content): packed contexts for each bucket of 32-grams, and under bucket -1 the covered ones."""
+    """Step 1: (bucket, content): packed contexts for each bucket of 32-grams, and under bucket -1 the covered ones.
+
+    The buckets from ``buckets`` on have contexts whose 32-gram is known to be shared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +213,15 @@ def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame
                     found[name] = value
                 found["lo"], found["reach"], found["at"] = start, reach, at
                 found, again = _first_and_covered(found)
-                bucket = np.where(again, -1, (found["gram"] % np.uint64(buckets)).astype(np.int64))
+                first = np.concatenate([[True], found["gram"][1:] != found["gram"][:-1]])[: len(found)]
+                number = np.cumsum(first) - 1
+                crowded = np.bincount(number, weights=~again)[number] > CROWD if len(found) else again
+                own = (found["gram"] % np.uint64(buckets)).astype(np.int64)
+                apart = buckets + ((found["gram"] ^ found["context"]) % np.uint64(buckets)).astype(np.int64)
+                bucket = np.where(again, -1, np.where(crowded, apart, own))
+                signs = np.flatnonzero(first & crowded)
+                bucket = np.concatenate([bucket, own[signs]])
+                found = np.concatenate([found, found[signs]])
                 order = np.argsort(bucket, kind="stable")
                 found, bucket = found[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-2)).tolist() + [len(bucket)]
@@ -218,7 +233,7 @@ def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame
     return rows.select("doc_id", "key", "text").mapInArrow(run, "bucket int, content binary")
 
 
-def _meet(packed: DataFrame, group_rows: int) -> DataFrame:
+def _meet(packed: DataFrame, buckets: int) -> DataFrame:
     """Step 2: covered spans, and the first of each different context that shares its 32-gram with others."""
 
     def spread(found: np.ndarray) -> pa.RecordBatch:
@@ -235,14 +250,12 @@ def _meet(packed: DataFrame, group_rows: int) -> DataFrame:
             if again.any():
                 yield spread(found[again])
             found = found[~again]
-            number = np.cumsum(np.concatenate([[True], found["gram"][1:] != found["gram"][:-1]])) - 1
-            count = np.bincount(number)[number]
-            found, count = found[count > 1], count[count > 1]
+            if group.column("bucket")[0].as_py() < buckets:
+                number = np.cumsum(np.concatenate([[True], found["gram"][1:] != found["gram"][:-1]])) - 1
+                found = found[np.bincount(number)[number] > 1]
             if len(found):
                 hi = found["lo"] + found["reach"].astype(np.int32)
-                yield _span_batch(
-                    found["doc_id"], found["key"], found["lo"], hi, found["at"], found["gram"].view(np.int64), count > group_rows
-                )
+                yield _span_batch(found["doc_id"], found["key"], found["lo"], hi, found["at"], found["gram"].view(np.int64))
 
     # What is settled already stays where it is.
     moved = packed.withColumn("salt", F.when(F.col("bucket") < 0, F.spark_partition_id()).otherwise(F.lit(0)))
@@ -379,8 +392,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.crc32(raw.cast("binary")).alias("key"), raw.alias("text"), *carry
     )
     buckets = 4 * shuffle_partitions(spark)
-    spans = materialize(_meet(_contexts_by_bucket(rows, buckets, length), GROUP_ROWS), "repeat-spans")
-    wanted = spans.filter("gram is not null").groupBy("doc_id", "key").agg(
+    spans = materialize(_meet(_contexts_by_bucket(rows, buckets, length), buckets), "repeat-spans")
+    shared = spans.filter("gram is not null")
+    hot = shared.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_ROWS)
+    shared = shared.join(hot, "gram", "left").withColumn("hot", F.col("n").isNotNull())
+    wanted = shared.groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("lo", "hi", "at", "gram", "hot")).alias("wanted")
     )
     # Rows with one doc_id and text need their bytes only once, but are all looked at in the end.

@@ -96,3 +96,15 @@ def test_leftmost_minimum():
         values = rng.integers(0, 5, n)
         want = [i + int(np.argmin(values[i : i + width])) for i in range(n - width + 1)]
         assert substrings.leftmost_minimum(values, width).tolist() == want
+
+
+def test_crowded_places_are_spread(make_docs, monkeypatch):
+    """One passage between other words in most documents: its contexts at both ends differ everywhere."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    passage = " ".join(rng.choices(words, k=40))
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    rows = [(i, " ".join([text(rng.randint(5, 40)), passage, text(rng.randint(5, 40))]) if i % 5 else text(80)) for i in range(150)]
+    found = substrings.remove_repeats(make_docs(rows)).collect()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
+    assert got == brute(rows)
