@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.common import components, mix64, random_words, sorted_groups
@@ -162,9 +162,9 @@ def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """(cid, links): how many rows each class is linked with, itself included, by block products in its component."""
-    size = F.count("*").over(Window.partitionBy("component"))
-    blocks = F.ceil(size / BLOCK_ROWS).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    # Sizes by an aggregate and a join, so that no task sorts all vectors of a large component.
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
