@@ -16,6 +16,8 @@ from precinct.session import materialize
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Text with more phrases than this for each symbol is like no learned language: prose in one has about a sixth.
 MOST_PHRASES = 0.5
+# Per cent of the shingles of two near-duplicates that they share; op2 alone has its own, stricter threshold.
+NEAR_PERCENT = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -28,7 +30,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates."""
-    return minhash.without_near_duplicates(docs.select(*COLUMNS))
+    return minhash.without_near_duplicates(docs.select(*COLUMNS), NEAR_PERCENT)
 
 
 def repeated_string_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

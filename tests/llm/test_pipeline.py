@@ -68,6 +68,23 @@ def test_stages_in_order(make_docs, spark, tmp_path):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_near_duplicate_stage_equals_brute_force_from_80_percent(make_docs, spark):
+    rng = random.Random(11)
+    texts = []
+    for group in range(40):
+        base = [f"g{group}w{i}" for i in range(rng.randint(90, 130))]
+        changes = 1 + group % 4
+        step = len(base) // (changes + 1)
+        copy = [f"x{group}y{i}" if i % step == 0 and 0 < i <= changes * step else w for i, w in enumerate(base)]
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split(" ") for t in texts)]
+    shared = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(sets), 2)]
+    assert sum(0.80 <= s < 0.85 for s in shared) >= 8 and sum(s < 0.80 for s in shared) >= 8
+    wanted = {i for i in range(len(texts)) if i % 2 == 0 or shared[i // 2] < 0.80}
+    found = corpus_pipeline.near_duplicate_stage(spark, make_docs(texts), "unused")
+    assert {r["doc_id"] for r in found.collect()} == wanted
+
+
 def test_queries_give_the_columns_asked_for(spark):
     from precinct.llm.queries import QUERIES
 
