@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import components, mix64, random_words, sorted_groups
+from precinct.llm.common import components, local_forest, mix64, random_words, sorted_groups
 from precinct.session import materialize
 
 THRESHOLD = 0.93
@@ -111,12 +111,58 @@ def _bucket_rows(classes: DataFrame, tables: int, functions: int, probes: int) -
     return classes.select("cid", "label", "embedding").mapInArrow(run, f"bucket long, cid long, embedding {kind}")
 
 
-def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that connect what is connected in each bucket: for each vector one to a pivot of its bucket.
-
-    A bucket is read in parts of bounded size. A pivot stands for each group that is found; a later part is compared
-    within itself and with the pivots.
+def _groups(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the smallest row that can be reached."""
+    root = np.full(len(near), -1)
+    while (root < 0).any():
+        start = int(np.argmax(root < 0))
+        front = np.array([start])
+        root[start] = start
+        while len(front):
+            front = np.flatnonzero(near[front].any(axis=0) & (root < 0))
+            root[front] = start
+    return root
+
+
+def _join(near: np.ndarray, root: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """``root`` after the links ``near`` between ``rows`` and ``columns``, which count once for two groups."""
+    left, right = np.argsort(root[rows], kind="stable"), np.argsort(root[columns], kind="stable")
+    a, at = np.unique(root[rows[left]], return_index=True)
+    b, below = np.unique(root[columns[right]], return_index=True)
+    met = np.logical_or.reduceat(np.logical_or.reduceat(near[left], at, axis=0)[:, right], below, axis=1)
+    i, j = np.nonzero(met)
+    low, member = local_forest(a[i], b[j])
+    to = np.arange(len(root))
+    to[member] = low
+    return to[root]
+
+
+def connected(x: np.ndarray, threshold: float, block: int) -> np.ndarray:
+    """For each row of ``x`` the smallest row of its group under the links of all pairs, multiplied in blocks.
+
+    Pairs in the largest group of the moment are connected already; all others are multiplied.
     """
+    n = len(x)
+    root = np.zeros(n, np.int64)
+    for lo in range(0, n, block):
+        own = np.arange(lo, min(lo + block, n))
+        root[own] = lo + _groups(x[own] @ x[own].T >= threshold)
+        for before in range(0, lo, block):
+            root = _join_blocks(x, threshold, root, np.arange(before, before + block), own, np.bincount(root[: own[-1] + 1]).argmax())
+    return root
+
+
+def _join_blocks(x: np.ndarray, threshold: float, root: np.ndarray, one: np.ndarray, two: np.ndarray, main: int) -> np.ndarray:
+    """``root`` after the links between two blocks of rows, but for pairs that are both in the group ``main``."""
+    in_one, in_two = root[one] == main, root[two] == main
+    for rows, columns in ((one[~in_one], two), (one[in_one], two[~in_two])):
+        if len(rows) and len(columns):
+            root = _join(x[rows] @ x[columns].T >= threshold, root, rows, columns)
+    return root
+
+
+def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that connect what is connected in each part of a bucket: for each vector one to the first of its group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["bucket", "salt"], 2):
@@ -125,37 +171,10 @@ def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
             if len(first) < 2:
                 continue
             group, ids = group.take(pa.array(np.sort(first))), ids[np.sort(first)]
-            x = unit_rows(group.column("embedding"))
-            a, b = [], []
-            pivots = np.zeros(0, np.int64)
-            for lo in range(0, len(ids), BUCKET_ROWS):
-                own = x[lo : lo + BUCKET_ROWS]
-                near = own @ own.T >= threshold
-                free = np.ones(len(own), bool)
-                known = own @ x[pivots].T >= threshold
-                for k, p in enumerate(pivots):
-                    hit = np.flatnonzero(known[:, k])
-                    a.append(np.full(len(hit), ids[p]))
-                    b.append(ids[lo + hit])
-                fresh = []
-                while free.any():
-                    start = int(np.argmax(free))
-                    found = np.zeros(len(own), bool)
-                    front = np.array([start])
-                    found[start] = True
-                    while len(front):
-                        reached = near[front].any(axis=0) & ~found
-                        found |= reached
-                        front = np.flatnonzero(reached)
-                    free &= ~found
-                    fresh.append(lo + start)
-                    hit = np.flatnonzero(found)
-                    if len(hit) > 1:
-                        a.append(np.full(len(hit) - 1, ids[lo + start]))
-                        b.append(ids[lo + hit[hit != start]])
-                pivots = np.concatenate([pivots, np.array(fresh, np.int64)])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            root = connected(unit_rows(group.column("embedding")), threshold, BUCKET_ROWS)
+            member = np.flatnonzero(root != np.arange(len(root)))
+            if len(member):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[root[member]]), pa.array(ids[member])], names=["a", "b"])
 
     return rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, "a long, b long")
 

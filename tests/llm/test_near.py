@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from precinct.llm import common, minhash, vectors
@@ -174,6 +175,46 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, block_rows):
     ]
 
 
+def chains(seed, n, width):
+    """Vectors on arcs: neighbours are near, ends of an arc are not; in no order."""
+    rng = np.random.default_rng(seed)
+    out = []
+    while len(out) < n:
+        a, b = np.linalg.qr(rng.normal(size=(width, 2)))[0].T
+        out += [np.cos(t) * a + np.sin(t) * b for t in np.arange(0, 1.6, 0.33)]
+    out = [out[i].astype(np.float32) for i in rng.permutation(len(out))][:n]
+    return out
+
+
+def cosine_links(rows):
+    x = vectors.unit_rows(pa.array([r.tolist() for r in rows]))
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+    return list(zip(i.tolist(), j.tolist()))
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 2048])
+def test_connected_equals_brute_force_over_slices(block):
+    for seed in range(20):
+        rows = chains(seed, 40, width=6)
+        root = components_of(range(len(rows)), cosine_links(rows))
+        x = vectors.unit_rows(pa.array([r.tolist() for r in rows]))
+        assert vectors.connected(x, 0.93, block).tolist() == [root[i] for i in range(len(rows))]
+
+
+def test_slices_of_a_bucket_are_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BUCKET_ROWS", 3)
+    links = []
+    for seed in range(12):
+        rows = chains(seed, 12, width=6)
+        root = components_of(range(len(rows)), cosine_links(rows))
+        table = [(0, 0, i, r.tolist()) for i, r in enumerate(rows)]
+        df = spark.createDataFrame(table, "bucket long, salt int, cid long, embedding array<float>").coalesce(1)
+        found = [(r["a"], r["b"]) for r in vectors._bucket_links(df, 0.93).collect()]
+        assert components_of(range(len(rows)), found) == root
+        links += cosine_links(rows)
+    assert len(links) > 50
+
+
 def test_rotations_keep_lengths_and_codes_find_near_vectors():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 64))
