@@ -124,17 +124,31 @@ def _groups(near: np.ndarray) -> np.ndarray:
     return root
 
 
-def _join(near: np.ndarray, root: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """``root`` after the links ``near`` between ``rows`` and ``columns``, which count once for two groups."""
-    left, right = np.argsort(root[rows], kind="stable"), np.argsort(root[columns], kind="stable")
-    a, at = np.unique(root[rows[left]], return_index=True)
-    b, below = np.unique(root[columns[right]], return_index=True)
+def _join(near: np.ndarray, to: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The roots ``to`` of all groups after the links ``near`` between rows of the groups ``one`` and ``two``."""
+    left, right = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
+    a, at = np.unique(one[left], return_index=True)
+    b, below = np.unique(two[right], return_index=True)
     met = np.logical_or.reduceat(np.logical_or.reduceat(near[left], at, axis=0)[:, right], below, axis=1)
     i, j = np.nonzero(met)
     low, member = local_forest(a[i], b[j])
-    to = np.arange(len(root))
-    to[member] = low
-    return to[root]
+    moved = np.arange(len(to))
+    moved[member] = low
+    return moved[to]
+
+
+def join_blocks(
+    x: np.ndarray, threshold: float, to: np.ndarray, group: np.ndarray, one: np.ndarray, two: np.ndarray, main: int
+) -> np.ndarray:
+    """The roots ``to`` of all groups after the links between two blocks of rows of ``x``.
+
+    ``group`` is the group of each row. Pairs of rows that are both in the root ``main`` are not multiplied.
+    """
+    in_one, in_two = to[group[one]] == main, to[group[two]] == main
+    for rows, columns in ((one[~in_one], two), (one[in_one], two[~in_two])):
+        if len(rows) and len(columns):
+            to = _join(x[rows] @ x[columns].T >= threshold, to, to[group[rows]], to[group[columns]])
+    return to
 
 
 def connected(x: np.ndarray, threshold: float, block: int) -> np.ndarray:
@@ -143,22 +157,15 @@ def connected(x: np.ndarray, threshold: float, block: int) -> np.ndarray:
     Pairs in the largest group of the moment are connected already; all others are multiplied.
     """
     n = len(x)
-    root = np.zeros(n, np.int64)
+    every = np.arange(n)
+    to = every.copy()
     for lo in range(0, n, block):
-        own = np.arange(lo, min(lo + block, n))
-        root[own] = lo + _groups(x[own] @ x[own].T >= threshold)
+        own = every[lo : lo + block]
+        to[own] = lo + _groups(x[own] @ x[own].T >= threshold)
         for before in range(0, lo, block):
-            root = _join_blocks(x, threshold, root, np.arange(before, before + block), own, np.bincount(root[: own[-1] + 1]).argmax())
-    return root
-
-
-def _join_blocks(x: np.ndarray, threshold: float, root: np.ndarray, one: np.ndarray, two: np.ndarray, main: int) -> np.ndarray:
-    """``root`` after the links between two blocks of rows, but for pairs that are both in the group ``main``."""
-    in_one, in_two = root[one] == main, root[two] == main
-    for rows, columns in ((one[~in_one], two), (one[in_one], two[~in_two])):
-        if len(rows) and len(columns):
-            root = _join(x[rows] @ x[columns].T >= threshold, root, rows, columns)
-    return root
+            main = int(np.bincount(to[: lo + len(own)]).argmax())
+            to = join_blocks(x, threshold, to, every, every[before : before + block], own, main)
+    return to
 
 
 def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
@@ -179,6 +186,47 @@ def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, "a long, b long")
 
 
+def _links_across(placed: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the parts of large buckets, (bucket, parts, salt, cid, embedding), for each two groups.
+
+    Two rows in the largest group of their bucket are connected already. All others meet, one task for each pair of
+    parts: a row outside of that group goes to all other parts, and one inside to those that have a row outside.
+    """
+    rows = placed.join(groups, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    most = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    most = most.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    most = materialize(most, "vector-main")
+    rows = rows.join(most, "bucket").withColumn("inside", F.col("component") == F.col("main")).drop("main")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    open_parts = rows.filter("not inside").select("bucket", F.col("salt").alias("other")).distinct()
+    outside = rows.filter("not inside").select("*", every)
+    inside = rows.filter("inside").join(open_parts, "bucket").select(*outside.columns)
+    rows = outside.unionByName(inside).filter("other <> salt").select(
+        "bucket", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"),
+        (F.col("salt") > F.col("other")).alias("second"), "inside", "component", "embedding",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["bucket", "i", "j"], 2):
+            ids, root = np.unique(group.column("component").to_numpy(), return_inverse=True)
+            second, inside = (group.column(c).to_numpy(zero_copy_only=False) for c in ("second", "inside"))
+            x = unit_rows(group.column("embedding"))
+            main = int(root[np.argmax(inside)]) if inside.any() else -1
+            one, two = np.flatnonzero(~second), np.flatnonzero(second)
+            # The nodes of the forest are the groups: rows follow their group to its new root.
+            to = np.arange(len(ids))
+            for a in range(0, len(one), BUCKET_ROWS):
+                for b in range(0, len(two), BUCKET_ROWS):
+                    known = to[main] if main >= 0 else -1
+                    to = join_blocks(x, threshold, to, root, one[a : a + BUCKET_ROWS], two[b : b + BUCKET_ROWS], known)
+            member = np.flatnonzero(to != np.arange(len(to)))
+            if len(member):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[to[member]]), pa.array(ids[member])], names=["a", "b"])
+
+    keys = ["bucket", "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """(cid, links): how many rows each class is linked with, itself included, by block products in its component."""
     # Sizes by an aggregate and a join, so that no task sorts all vectors of a large component.
@@ -241,16 +289,18 @@ def near_vectors(
     )
     classes = materialize(classes, "vector-classes")
     placed = _bucket_rows(classes, tables, functions, probes)
-    # A bucket beyond the size of a part is split; each split also gets the vector with the smallest id of the bucket.
-    large = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("cid").alias("low")).filter(f"size > {4 * BUCKET_ROWS}")
+    # A bucket beyond the size of a part is split; what its parts do not connect is compared across all of them.
+    size = F.ceil(F.col("size") / (4 * BUCKET_ROWS)).cast("int")
+    large = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter(f"size > {4 * BUCKET_ROWS}")
+    large = materialize(large.select("bucket", size.alias("parts")), "vector-buckets")
     placed = placed.join(large, "bucket", "left")
-    parts = F.coalesce(F.ceil(F.col("size") / (4 * BUCKET_ROWS)), F.lit(1)).cast("int")
-    one = F.array(F.pmod(F.xxhash64("cid"), parts).cast("int"))
-    every = F.sequence(F.lit(0), parts - 1)
-    salt = F.explode(F.when(F.col("cid") == F.col("low"), every).otherwise(one)).alias("salt")
-    links = _bucket_links(placed.select("bucket", salt, "cid", "embedding"), threshold)
-    groups = components(links, "vector-groups").withColumnRenamed("node", "cid")
-    groups = materialize(groups, "vector-groups")
+    parts = F.coalesce("parts", F.lit(1))
+    placed = placed.select("bucket", "parts", F.pmod(F.xxhash64("cid"), parts).cast("int").alias("salt"), "cid", "embedding")
+    links = materialize(_bucket_links(placed, threshold), "vector-links")
+    groups = materialize(components(links, "vector-groups").withColumnRenamed("node", "cid"), "vector-groups")
+    if large.limit(1).count():
+        links = links.unionByName(_links_across(placed.filter("parts > 1"), groups, threshold))
+        groups = materialize(components(links, "vector-groups").withColumnRenamed("node", "cid"), "vector-groups")
     members = classes.select("cid", "n", "embedding").join(groups, "cid")
     counts = _link_counts(members, threshold)
     least = classes.join(groups, "cid").groupBy("component").agg(F.min("rep").alias("least"))

@@ -215,6 +215,21 @@ def test_slices_of_a_bucket_are_all_compared(spark, monkeypatch):
     assert len(links) > 50
 
 
+def test_parts_of_a_large_bucket_are_all_compared(spark, monkeypatch):
+    """All vectors share one bucket, whose parts have about twelve entries."""
+    monkeypatch.setattr(vectors, "BUCKET_ROWS", 3)
+    rows = [r for seed in range(8) for r in chains(seed, 30, width=16)]
+    links = cosine_links(rows)
+    root = components_of(range(len(rows)), links)
+    count = np.bincount(np.array(links).reshape(-1), minlength=len(rows))
+    one_bucket = lambda x, tables, functions, probes: np.zeros((len(x), 1, 1), np.uint64)
+    monkeypatch.setattr(vectors, "codes", one_bucket)
+    table = [(i, r.tolist(), 1) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>, label int").repartition(4)
+    found = {r["vec_id"]: r for r in vectors.near_vectors(df).collect()}
+    assert [(found[i]["n_links"], found[i]["component_id"]) for i in range(len(rows))] == [(count[i], root[i]) for i in range(len(rows))]
+
+
 def test_rotations_keep_lengths_and_codes_find_near_vectors():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 64))
