@@ -7,8 +7,8 @@ its context. Windows can only repeat between contexts with the same 32-gram:
 1. Each task finds the contexts of its documents. Of equal contexts the later ones are covered by the first.
 2. Contexts meet by the hash of their 32-gram. One that is alone is clean, equal ones are settled as in step 1, and of
    each different one the first is passed on. Where a task sees a 32-gram with many different contexts it is shared for
-   certain: then these meet by the hash of 32-gram and context, so that no task gets all of a common one, and one of them
-   also goes where its 32-gram is looked at.
+   certain: then these meet by the hash of 32-gram and context, so that no task gets all of a common one, and a sign
+   goes where the 32-gram is looked at; of a 32-gram with a sign every first context is passed on, even a lone one.
 3. Those get their bytes. In each group, the part of a context that no other one of the group shares around the
    32-gram is cut off; equal rests are settled as before.
 4. The different rests, many groups at once, are one text for a suffix array built by linear grouping. Neighbours with 100
@@ -37,6 +37,9 @@ ARRAY_BYTES, GROUP_ROWS = 1 << 16, 20_000
 CROWD = 8
 NO_ID = -(1 << 63)
 
+# In place of a distance: a row that only says that its 32-gram is shared.
+SIGN = 255
+
 _CONTEXT = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc_id", "<i8"), ("key", "<u4"), ("lo", "<i4"), ("reach", "u1"), ("at", "u1")])
 
 
@@ -222,6 +225,7 @@ def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame
                 signs = np.flatnonzero(first & crowded)
                 bucket = np.concatenate([bucket, own[signs]])
                 found = np.concatenate([found, found[signs]])
+                found["at"][len(found) - len(signs) :] = SIGN
                 order = np.argsort(bucket, kind="stable")
                 found, bucket = found[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-2)).tolist() + [len(bucket)]
@@ -246,13 +250,16 @@ def _meet(packed: DataFrame, buckets: int) -> DataFrame:
                 for blob in content:
                     yield spread(np.frombuffer(blob.as_buffer(), _CONTEXT))
                 continue
-            found, again = _first_and_covered(np.concatenate([np.frombuffer(b.as_buffer(), _CONTEXT) for b in content]))
+            found = np.concatenate([np.frombuffer(b.as_buffer(), _CONTEXT) for b in content])
+            sign = found["at"] == SIGN
+            signs = found["gram"][sign]
+            found, again = _first_and_covered(found[~sign])
             if again.any():
                 yield spread(found[again])
             found = found[~again]
-            if group.column("bucket")[0].as_py() < buckets:
+            if len(found) and group.column("bucket")[0].as_py() < buckets:
                 number = np.cumsum(np.concatenate([[True], found["gram"][1:] != found["gram"][:-1]])) - 1
-                found = found[np.bincount(number)[number] > 1]
+                found = found[(np.bincount(number)[number] > 1) | np.isin(found["gram"], signs)]
             if len(found):
                 hi = found["lo"] + found["reach"].astype(np.int32)
                 yield _span_batch(found["doc_id"], found["key"], found["lo"], hi, found["at"], found["gram"].view(np.int64))

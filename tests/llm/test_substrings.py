@@ -108,3 +108,19 @@ def test_crowded_places_are_spread(make_docs, monkeypatch):
     found = substrings.remove_repeats(make_docs(rows)).collect()
     got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
     assert got == brute(rows)
+
+
+def test_a_lone_earlier_context_of_a_crowded_place_counts(make_docs, monkeypatch):
+    """Copies lie in one piece of text with edited ones, which stand between them and the first copy in the order of ids."""
+    monkeypatch.setattr(substrings, "CROWD", 1)
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    first, rest = [], []
+    for group in range(12):
+        copy = text(70)
+        first.append((10 * group, copy))
+        rest += [(10 * group + 5, text(20) + copy[80:300] + text(20)), (10 * group + 9, copy)]
+    docs = make_docs(first).coalesce(1).union(make_docs(rest).coalesce(1))
+    found = substrings.remove_repeats(docs).collect()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
+    assert got == brute(first + rest)
