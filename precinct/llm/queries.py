@@ -161,4 +161,4 @@ def op9_bpe_roundtrip(spark, folder):
 
 @query
 def op10_token_files(spark, folder):
-    return token_files.token_table(read_table(spark, folder, "documents"))
+    return token_files.token_table(read_table(spark, folder, "documents"), added=True)

@@ -19,6 +19,7 @@ zeros), so it begins at a full byte, can be read without the others and is unpac
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, ordered_buckets, shuffle_partitions, text_buffers
+from precinct.llm.common import chunks, ordered_buckets, ragged, shuffle_partitions, text_buffers
 from precinct.llm.pretokens import PieceTable
 from precinct.session import materialize, scratch_path
 
@@ -131,10 +132,7 @@ def segments(content: bytes) -> Iterator[Segment]:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> tuple[PieceTable, int]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = _library(path)
     tokenizer.encode_special_tokens = True
 
     def encode(pieces: list[bytes]) -> list[list[int]]:
@@ -144,14 +142,71 @@ def _tokenizer(path: str) -> tuple[PieceTable, int]:
     return PieceTable(encode), (tokenizer.get_vocab_size() - 1).bit_length()
 
 
-def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def _added_tokens(path: str) -> tuple[re.Pattern | None, dict[bytes, int], object]:
+    """A pattern of the file's added tokens, longest first, their ids, and the library where it alone can place them."""
+    tokenizer = _library(path)
+    added = tokenizer.get_added_tokens_decoder()
+    ids = {t.content.encode(): i for i, t in added.items()}
+    if not ids:
+        return None, ids, None
+    pattern = re.compile(b"|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)))
+    plain = not any(t.single_word or t.lstrip or t.rstrip for t in added.values())
+    return pattern, ids, None if plain else tokenizer
+
+
+def _encode_rows(path: str, data: np.ndarray, offsets: np.ndarray, added: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows and their bounds; with ``added``, the file's added tokens in a text are cut out and have their own id."""
+    table, _ = _tokenizer(path)
+    pattern, own, library = _added_tokens(path) if added else (None, {}, None)
+    raw = data.tobytes() if pattern else b""
+    if pattern is None or not pattern.search(raw):
+        return table.encode(data, offsets)
+    cuts, row_of, fixed = [0], [], {}
+    for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        for match in pattern.finditer(raw, a, b):
+            if library is not None:  # the whole text is one piece
+                fixed[len(row_of)] = library.encode(raw[a:b].decode(), add_special_tokens=False).ids
+                break
+            cuts += [match.start(), match.end()]
+            fixed[len(row_of) + 1] = [own[match.group()]]
+            row_of += [row, row]
+        cuts.append(b)
+        row_of.append(row)
+    # Rows with an id of their own are left out of what is encoded.
+    cuts = np.array(cuts, np.int64)
+    sizes = np.diff(cuts)
+    given = np.zeros(len(sizes), bool)
+    given[list(fixed)] = True
+    rest = data[ragged(cuts[:-1][~given], sizes[~given])]
+    ids, bounds = table.encode(rest, np.concatenate([[0], np.cumsum(sizes[~given])]))
+    counts = np.zeros(len(sizes), np.int64)
+    counts[~given] = np.diff(bounds)
+    counts[given] = [len(fixed[k]) for k in np.flatnonzero(given).tolist()]
+    ends = np.cumsum(counts)
+    out = np.zeros(int(ends[-1]), np.uint32)
+    is_given = np.repeat(given, counts)
+    out[~is_given] = ids
+    out[is_given] = [i for k in np.flatnonzero(given).tolist() for i in fixed[k]]
+    per_row = np.bincount(row_of, weights=counts, minlength=len(offsets) - 1).astype(np.int64)
+    return out, np.concatenate([[0], np.cumsum(per_row)])
+
+
+def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int | None, added: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows, each closed by ``end_id``, and their numbers.
 
     The tokenizer's own splitter cuts a text into the same pieces, and each piece is encoded for itself; so
-    the library encodes every distinct piece once instead of every text.
+    the library encodes every distinct piece once instead of every text. With ``added`` the added tokens of the
+    file are found in the texts, as the library does by default; without, they are text like any other.
     """
-    table, _ = _tokenizer(path)
-    ids, bounds = table.encode(data, offsets)
+    ids, bounds = _encode_rows(path, data, offsets, added)
     counts = np.diff(bounds)
     if end_id is None:
         return ids, counts
@@ -159,12 +214,14 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int | None)
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int | None = END_ID, buckets: int | None = None
+    docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int | None = END_ID, buckets: int | None = None,
+    added: bool = False,
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write the files; one shuffle by ranges of doc_id.
 
     A null text counts as empty: only the end id is written. Null doc_ids come last; repeated doc_ids follow one
     another, ordered by a hash of the text. Other columns are not read. ``buckets`` is the number of ranges.
+    ``added`` is that of ``encode``.
     """
     buckets = buckets or 4 * shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -194,7 +251,7 @@ def write_token_files(
             places = batch.column("bucket").to_numpy()
             data, offsets = text_buffers(batch.column("text"))
             for lo, hi in chunks(offsets, BATCH_BYTES):
-                got, sizes = encode(path, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], end_id)
+                got, sizes = encode(path, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], end_id, added)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 cuts = [0, *(np.flatnonzero(np.diff(places[lo:hi])) + 1).tolist(), hi - lo]
                 for a, b in zip(cuts, cuts[1:]):
@@ -240,15 +297,15 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInArrow(run, "bucket int, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, path: str = VOCABULARY, end_id: int | None = END_ID) -> DataFrame:
+def token_table(docs: DataFrame, path: str = VOCABULARY, end_id: int | None = END_ID, added: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of ``docs`` after a round trip through token files in the shared folder.
 
     ``start`` is the number of ids of all documents before. Only one number for each range of doc_ids is
-    summed up across ranges.
+    summed up across ranges. ``added`` is that of ``encode``.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "token-files")
-    write_token_files(docs, folder, path, end_id)
+    write_token_files(docs, folder, path, end_id, added=added)
     if not docs.limit(1).count():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     found = materialize(read_token_files(spark, folder), "token-table")

@@ -115,6 +115,34 @@ def test_token_files_equal_the_library(make_docs, monkeypatch):
         assert (r["n_tokens"], r["ids_crc32"]) in wanted[r["doc_id"]]
 
 
+def test_op10_equals_the_unmodified_library(make_docs, spark, tmp_path):
+    from precinct.llm.queries import QUERIES
+
+    other = Tokenizer.from_file(token_files.VOCABULARY)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{end}x", f"x \n {end}", f"é{end}中 {end}  y", "<|endof", "text|>", "plain", "", None] + noise(50)
+    make_docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    out = sorted(QUERIES["op10_token_files"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    start = 0
+    for r, text in zip(out, texts, strict=True):
+        ids = [*other.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_added_tokens_with_flags_equal_the_library(tmp_path):
+    from tokenizers import AddedToken
+
+    other = Tokenizer.from_file(token_files.VOCABULARY)
+    other.add_tokens([AddedToken("foo", single_word=True), AddedToken("<m>", lstrip=True, rstrip=True)])
+    path = str(tmp_path / "flags.json")
+    other.save(path)
+    texts = ["foobar", "a foo b", " <m>  x", "<|endoftext|> y", "", "plain"]
+    data, offsets = text_buffers(pa.array(texts))
+    ids, counts = token_files.encode(path, data, offsets, None, added=True)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [other.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_empty_table(make_docs):
     assert bpe_prefix.encode(make_docs([])).count() == 0
     assert token_files.token_table(make_docs([])).count() == 0
