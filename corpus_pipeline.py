@@ -14,17 +14,21 @@ from precinct.llm.common import read_table
 from precinct.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# Text with more phrases than this for each symbol is like no learned language: prose in one has about a sixth.
-MOST_PHRASES = 0.5
+# Text with more phrases than this for each symbol is like no learned language: prose in one has about a sixth. An unlearned
+# language in the same script can have less. Texts of fewer characters say too little and are not judged by it.
+MOST_PHRASES, FEW_CHARACTERS = 0.5, 32
 # Per cent of the shingles of two near-duplicates that they share; op2 alone has its own, stricter threshold.
 NEAR_PERCENT = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents without a letter, or in none of the languages that the labelled documents teach."""
+    """Drops documents without a letter, and longer ones that are like no learned language, in effect those in other scripts.
+
+    Text of an unlearned language in a learned script mostly stays.
+    """
     references = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
     found = language.identify(docs, references, *COLUMNS)
-    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("phrase_rate") <= MOST_PHRASES)
+    kept = (F.col("lang_pred") != language.UNKNOWN) & ((F.col("phrase_rate") <= MOST_PHRASES) | (F.length("text") < FEW_CHARACTERS))
     return found.filter(kept).select(*COLUMNS)
 
 

@@ -68,6 +68,12 @@ def test_stages_in_order(make_docs, spark, tmp_path):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_language_stage_keeps_short_texts_and_drops_other_scripts(make_docs, spark):
+    more = [(200, "A", "en", "a"), (201, "Ok", "fr", "a"), (202, "жизнь и судьба " * 9, None, "a"), (203, "?!", None, "a")]
+    found = corpus_pipeline.language_stage(spark, make_docs(rows() + more), "unused")
+    assert {r["doc_id"] for r in found.collect()} & {200, 201, 202, 203} == {200, 201}
+
+
 def test_near_duplicate_stage_equals_brute_force_from_80_percent(make_docs, spark):
     rng = random.Random(11)
     texts = []
