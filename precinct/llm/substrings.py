@@ -250,10 +250,11 @@ def _meet(packed: DataFrame, buckets: int) -> DataFrame:
                 for blob in content:
                     yield spread(np.frombuffer(blob.as_buffer(), _CONTEXT))
                 continue
-            found = np.concatenate([np.frombuffer(b.as_buffer(), _CONTEXT) for b in content])
-            sign = found["at"] == SIGN
-            signs = found["gram"][sign]
-            found, again = _first_and_covered(found[~sign])
+            # Signs come last in each content, so nothing is copied to part them.
+            blobs = [np.frombuffer(b.as_buffer(), _CONTEXT) for b in content]
+            rest = [len(b) - np.count_nonzero(b["at"] == SIGN) for b in blobs]
+            signs = np.concatenate([b["gram"][n:] for b, n in zip(blobs, rest)])
+            found, again = _first_and_covered(np.concatenate([b[:n] for b, n in zip(blobs, rest)]))
             if again.any():
                 yield spread(found[again])
             found = found[~again]
