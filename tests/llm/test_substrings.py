@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from precinct.llm import substrings
 from precinct.llm.suffix_array import lyndon_groups, suffix_array
@@ -111,7 +110,7 @@ def test_crowded_places_are_spread(make_docs, monkeypatch):
     assert got == brute(rows)
 
 
-def test_a_lone_earlier_context_of_a_crowded_place_counts(make_docs, monkeypatch):
+def test_a_lone_earlier_context_of_a_crowded_place_counts(spark, monkeypatch):
     """Copies lie in one piece of text with edited ones, which stand between them and the first copy in the order of ids."""
     monkeypatch.setattr(substrings, "CROWD", 1)
     rng = random.Random(5)
@@ -121,9 +120,8 @@ def test_a_lone_earlier_context_of_a_crowded_place_counts(make_docs, monkeypatch
         copy = text(70)
         first.append((10 * group, copy))
         rest += [(10 * group + 5, text(20) + copy[80:300] + text(20)), (10 * group + 9, copy)]
-    rows = [(i, t, None, "a") for i, t in first] + [(i, t, None, "b") for i, t in rest]
-    docs = make_docs(rows).repartitionByRange(2, "source")  # a union of two single partitions would be one
-    assert docs.select(F.spark_partition_id().alias("p"), "source").distinct().count() == 2
+    monkeypatch.setattr(substrings, "chunks", lambda offsets: [(0, 12), (12, 36)] if len(offsets) == 37 else [(0, len(offsets) - 1)])
+    docs = spark.createDataFrame(first + rest, "doc_id long, text string").coalesce(1)
     found = substrings.remove_repeats(docs).collect()
     got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
     assert got == brute(first + rest)
