@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe_prefix, fingerprint, language, minhash, mixing, quality, sharding, substrings, token_files, vectors
+from precinct.llm import (
+    bpe_prefix,
+    fingerprint,
+    language,
+    minhash,
+    mixing,
+    quality,
+    sharding,
+    substrings,
+    token_files,
+    vectors,
+    whitening,
+)
 from precinct.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +174,11 @@ def op9_bpe_roundtrip(spark, folder):
 @query
 def op10_token_files(spark, folder):
     return token_files.token_table(read_table(spark, folder, "documents"), added=True)
+
+
+@query
+def op11_whitening(spark, folder):
+    vectors_table = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model, fit_list = whitening.fit(vectors_table)
+    error = whitening.identity_error(fit_list, model) if model else 0.0
+    return whitening.whiten(vectors_table, model, "vec_id").withColumn("identity_error", F.lit(error))
