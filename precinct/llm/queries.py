@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from precinct.llm import (
     bpe_prefix,
+    conversations,
     fingerprint,
     language,
     minhash,
@@ -182,3 +183,84 @@ def op11_whitening(spark, folder):
     model, fit_list = whitening.fit(vectors_table)
     error = whitening.identity_error(fit_list, model) if model else 0.0
     return whitening.whiten(vectors_table, model, "vec_id").withColumn("identity_error", F.lit(error))
+
+
+@query
+def op12_conversation_repair(spark, folder):
+    rows = conversations.damaged(read_table(spark, folder, "conversations"))
+    return conversations.digests(conversations.repair_conversations(rows))
+
+
+ORACLE["op12_conversation_repair"] = r"""
+WITH RECURSIVE
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: unicode(x)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS draw
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE draw WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn),
+placed AS (
+  SELECT *, rtrim(text, E' \t\n\x0b\x0c\r') AS body, sha256(text) AS digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i
+  FROM damaged),
+faults AS (
+  SELECT *, left(role, 1) AS initial,
+    CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id),
+every AS (
+  SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(n, 0) AS n
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts ON c.conv_id IS NOT DISTINCT FROM counts.conv_id),
+-- For each state (z nothing, s system, u user, a assistant) the least [cost, audit, lines] that ends in it.
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'e': '', 't': ''} AS z, NULL::STRUCT(c BIGINT, e VARCHAR, t VARCHAR) AS s,
+    NULL::STRUCT(c BIGINT, e VARCHAR, t VARCHAR) AS u, NULL::STRUCT(c BIGINT, e VARCHAR, t VARCHAR) AS a FROM every
+  UNION ALL
+  SELECT conv_id, i,
+    list_min([z_d]) AS z,
+    list_min([s_d, CASE WHEN k = 's' THEN {'c': z.c + w, 'e': z.e || 'K', 't': z.t || line} END]) AS s,
+    list_min([u_d, CASE WHEN k <> '-' THEN {'c': open.c + w + (k <> 'u')::BIGINT, 'e': open.e || CASE k WHEN 'u' THEN 'K' ELSE 'R' END,
+      't': open.t || CASE k WHEN 'u' THEN line ELSE E'\nuser:' || text END} END]) AS u,
+    list_min([a_d, CASE WHEN k <> '-' THEN {'c': u2.c + w + (k <> 'a')::BIGINT, 'e': u2.e || CASE k WHEN 'a' THEN 'K' ELSE 'R' END,
+      't': u2.t || CASE k WHEN 'a' THEN line ELSE E'\nassistant:' || text END} END]) AS a
+  FROM (
+    SELECT *,
+      CASE WHEN z.c IS NOT NULL THEN {'c': z.c + 2, 'e': z.e || 'D', 't': z.t} END AS z_d,
+      CASE WHEN s.c IS NOT NULL THEN {'c': s.c + 2, 'e': s.e || 'D', 't': s.t} END AS s_d,
+      CASE WHEN u2.c IS NOT NULL THEN {'c': u2.c + 2, 'e': u2.e || 'D', 't': u2.t} END AS u_d,
+      CASE WHEN a2.c IS NOT NULL THEN {'c': a2.c + 2, 'e': a2.e || 'D', 't': a2.t} END AS a_d,
+      list_min([z, s, a2]) AS open
+    FROM (
+      SELECT *, list_min([a, CASE WHEN u1.c IS NOT NULL THEN {'c': u1.c + 5, 'e': u1.e || 'I', 't': u1.t || E'\nassistant:'} END]) AS a2,
+        list_min([u1, CASE WHEN a1.c IS NOT NULL THEN {'c': a1.c + 5, 'e': a1.e || 'I', 't': a1.t || E'\nuser:'} END]) AS u2
+      FROM (
+        SELECT *, list_min([u, CASE WHEN list_min([z, s, a]).c IS NOT NULL
+            THEN {'c': list_min([z, s, a]).c + 5, 'e': list_min([z, s, a]).e || 'I', 't': list_min([z, s, a]).t || E'\nuser:'} END]) AS u1,
+          list_min([a, CASE WHEN u.c IS NOT NULL THEN {'c': u.c + 5, 'e': u.e || 'I', 't': u.t || E'\nassistant:'} END]) AS a1
+        FROM (
+          SELECT f.conv_id, f.i, z, s, u, a, f.text, E'\n' || f.role || ':' || f.text AS line,
+            CASE WHEN f.fault IN ('blank', 'duplicate') THEN '-' ELSE f.initial END AS k,
+            CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS w
+          FROM steps JOIN faults f ON f.conv_id IS NOT DISTINCT FROM steps.conv_id AND f.i = steps.i + 1))))),
+ends AS (
+  SELECT steps.conv_id, list_min([z, a, CASE WHEN u.c IS NOT NULL THEN {'c': u.c + 5, 'e': u.e || 'I', 't': u.t || E'\nassistant:'} END,
+    CASE WHEN s.c IS NOT NULL THEN {'c': s.c + 10, 'e': s.e || 'II', 't': s.t || E'\nuser:\nassistant:'} END]) AS best
+  FROM steps JOIN every ON steps.conv_id IS NOT DISTINCT FROM every.conv_id AND steps.i = every.n)
+SELECT every.conv_id, gaps, blank, duplicate, truncated, illegal, best.c AS cost, best.e AS audit, sha256(best.t[2:]) AS repaired_sha256
+FROM every JOIN ends ON every.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
