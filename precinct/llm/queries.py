@@ -17,6 +17,7 @@ from precinct.llm import (
     quality,
     sharding,
     substrings,
+    suffix_tree,
     token_files,
     vectors,
     whitening,
@@ -185,6 +186,11 @@ def op11_whitening(spark, folder):
     return whitening.whiten(vectors_table, model, "vec_id").withColumn("identity_error", F.lit(error))
 
 
+@query
+def op13_suffix_tree_scores(spark, folder):
+    return suffix_tree.score_documents(read_table(spark, folder, "documents"), suffix_tree.held_out(F.col("doc_id")))
+
+
 @query
 def op12_conversation_repair(spark, folder):
     rows = conversations.damaged(read_table(spark, folder, "conversations"))
