@@ -131,10 +131,19 @@ def index_to_name(confusion: DataFrame, labels: Labels) -> DataFrame:
     return confusion.select(named("label").alias("true_label"), named("prediction").alias("pred_label"), "count")
 
 
-def confusion(preds: DataFrame, weight: str | None = None) -> DataFrame:
-    """Non-empty confusion cells. ``weight`` names the row count when the input is already aggregated."""
+def confusion(preds: DataFrame, weight: str | None = None, also: str | None = None) -> DataFrame:
+    """Non-empty confusion cells. ``weight`` names the row count when the input is already aggregated.
+
+    ``also`` names a column that is summed up beside the count, such as the weight of a row (``reweighted``).
+    """
     count = F.count("*") if weight is None else F.sum(weight)
-    return preds.groupBy("label", "prediction").agg(count.alias("count"))
+    more = [F.sum(also).alias(also)] if also else []
+    return preds.groupBy("label", "prediction").agg(count.alias("count"), *more)
+
+
+def reweighted(cells: DataFrame, weight: str = "weight") -> DataFrame:
+    """Confusion cells that count the sum of the weights of their rows instead of the rows."""
+    return cells.select("label", "prediction", F.col(weight).cast("double").alias("count"))
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -143,7 +152,8 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def _class_totals(cells: DataFrame) -> DataFrame:
     """Each confusion cell once for its true and once for its predicted class."""
-    zero, count = F.lit(0).cast("bigint"), F.col("count")
+    count = F.col("count")
+    zero = F.lit(0).cast(cells.schema["count"].dataType)
     hit = F.when(F.col("label") == F.col("prediction"), count).otherwise(zero)
     return cells.select(
         F.inline(
@@ -164,7 +174,7 @@ def _with_scores(totals: DataFrame) -> DataFrame:
 
 def per_class_metrics(cells: DataFrame, labels: Labels) -> DataFrame:
     """Support, precision, recall and F1 of every label of the dictionary, by class index."""
-    zero = F.lit(0).cast("bigint")
+    zero = F.lit(0).cast(cells.schema["count"].dataType)
     if isinstance(labels, DataFrame):
         rows = labels.select("label", F.col("INCIDENT_TYPE").alias("class"))
     else:

@@ -10,6 +10,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from precinct.operators.multihot import MultiHot
 from precinct.schema import CATEGORICAL, NUMERIC
 from precinct.session import spread_evenly
 
@@ -27,9 +28,11 @@ def encoder(columns: Sequence[str] = CATEGORICAL) -> OneHotEncoder:
     )
 
 
-def assembler(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC) -> VectorAssembler:
+def assembler(
+    categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC, vectors: Sequence[str] = ()
+) -> VectorAssembler:
     return VectorAssembler(
-        inputCols=[f"{c}_ohe" for c in categorical] + list(numeric), outputCol="features", handleInvalid="keep"
+        inputCols=[f"{c}_ohe" for c in categorical] + list(numeric) + list(vectors), outputCol="features", handleInvalid="keep"
     )
 
 
@@ -74,19 +77,58 @@ def build_pipeline(
     name: str = "lr",
     categorical: Sequence[str] = CATEGORICAL,
     numeric: Sequence[str] = NUMERIC,
+    multi_hot: dict[str, Sequence[str]] | None = None,
+    min_share: float = 0.001,
     **params,
 ) -> Pipeline:
+    """Indexers, encoder, assembler and classifier; further ``params`` go to the classifier.
+
+    ``multi_hot`` gives further features: the name of a vector and the columns whose values it holds; values in less than
+    ``min_share`` of the training rows share a place.
+    """
+    multi_hot = multi_hot or {}
     return Pipeline(
         stages=[
             category_indexer(categorical),
             encoder(categorical),
-            assembler(categorical, numeric),
+            *[MultiHot(inputCols=list(columns), outputCol=out, minShare=min_share) for out, columns in multi_hot.items()],
+            assembler(categorical, numeric, list(multi_hot)),
             label_indexer(),
             classifier(name, **params),
         ]
     )
 
 
+def labels_by_count(cells: DataFrame, columns: Sequence[str], weight: str = "n") -> dict[str, list[str]]:
+    """The values of each column by frequency and then by name, nulls left out, from counted cells.
+
+    The order of a fitted indexer; the dictionaries come to the driver, as every indexer's do.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = cells.select(F.inline(pairs), weight).filter("value is not null").groupBy("column", "value")
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for row in sorted(counts.agg(F.sum(weight).alias("n")).filter("n > 0").collect(), key=lambda r: (-r["n"], r["value"])):
+        out[row["column"]].append(row["value"])
+    return out
+
+
+def pipeline_with_counts(
+    name: str,
+    cells: DataFrame,
+    categorical: Sequence[str] = CATEGORICAL,
+    numeric: Sequence[str] = NUMERIC,
+    weight: str = "n",
+    **params,
+) -> Pipeline:
+    """``build_pipeline`` with indexers from the counted ``cells`` of the training rows: only the classifier is left to fit."""
+    values = labels_by_count(cells, [*categorical, "INCIDENT_TYPE"], weight)
+    categories = [StringIndexerModel.from_labels(values[c], c, f"{c}_idx", "keep") for c in categorical]
+    labels = StringIndexerModel.from_labels(values["INCIDENT_TYPE"], "INCIDENT_TYPE", "label", "skip")
+    return Pipeline(
+        stages=[*categories, encoder(categorical), assembler(categorical, numeric), labels, classifier(name, **params)]
+    )
+
+
 def input_columns(pipeline: Pipeline | PipelineModel) -> list[str]:
     """Columns of the incidents that the stages read, in order of first use."""
     stages = pipeline.stages if isinstance(pipeline, PipelineModel) else pipeline.getStages()
@@ -156,7 +198,12 @@ def load_model(path: str) -> PipelineModel:
 
 def class_weights(train: DataFrame, label: str = "INCIDENT_TYPE") -> DataFrame:
     """Balanced weight per label: rows / (labels * rows of the label)."""
-    counts = train.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("count"))
+    return balanced_weights(train.groupBy(label).agg(F.count("*").alias("count")), label)
+
+
+def balanced_weights(counts: DataFrame, label: str = "INCIDENT_TYPE") -> DataFrame:
+    """``class_weights`` from the number of training rows of each label."""
+    counts = counts.filter(F.col(label).isNotNull())
     total = counts.agg(F.struct(F.sum("count").alias("rows"), F.count("*").alias("labels"))).scalar()
     return counts.select(
         label, "count", (total["rows"] / (total["labels"] * F.col("count"))).alias("weight")
@@ -164,7 +211,7 @@ def class_weights(train: DataFrame, label: str = "INCIDENT_TYPE") -> DataFrame:
 
 
 def add_weights(train: DataFrame, weights: DataFrame, label: str = "INCIDENT_TYPE") -> DataFrame:
-    """Training rows with the weight of their label. The weights hold one entry per label, as a map."""
+    """Rows with the weight of their label, null for a label without one. The weights hold one entry per label, as a map."""
     entries = F.collect_list(F.struct(label, "weight"))
     weight = weights.agg(F.map_from_entries(entries)).scalar()
     return train.withColumn("weight", F.try_element_at(weight, F.col(label)))

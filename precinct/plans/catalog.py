@@ -5,23 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precinct import functions as fx
-from precinct.operators import analysis, clean, metrics, ml, reports, split
+from precinct.operators import analysis, clean, counters, metrics, ml, multihot, rank, reports, split
 from precinct.operators import runs as run_ops
 from precinct.plans import jobs
 from precinct.plans.jobs import aggregate_analysis
-from precinct.schema import ALGORITHM_NAMES, CATEGORICAL, NUMERIC
+from precinct.schema import ALGORITHM_NAMES, ATTEMPT_COLUMNS, CATEGORICAL, NUMERIC, PROPERTY_COLUMNS, SUMMARY_SCHEMA
 from precinct.session import materialize, scratch_path
 from precinct.sources import (
     describe_schema,
+    incident_persons,
+    incident_properties,
     incidents,
     load_tables,
     read_incidents_csv,
     read_incidents_parquet,
+    read_metrics,
     read_result_csv,
     read_run_summaries,
     resolve_col,
@@ -32,6 +36,7 @@ from precinct.sources import (
     write_summary,
     write_text,
 )
+from precinct.streaming import read_store, retrain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,6 +113,28 @@ def csv_text_ids(spark, folder):
     )
 
 
+@query
+def csv_mixed_headers(spark, folder):
+    """Files of three deliveries: one as written, one with the columns turned round, one with a column more and one less."""
+    path = scratch_path(spark, "incidents-csv")
+    df = incidents(spark, folder)
+    third = F.col("incident_number") % 3
+    write_csv(df.filter(third == 0), f"{path}/a")
+    write_csv(df.filter(third == 1).select(*reversed(df.columns)), f"{path}/b")
+    office = F.concat(F.lit("ORI"), (F.col("incident_number") % 10).cast("string"))
+    write_csv(df.filter(third == 2).drop("stolen_motor").withColumn(" ori ", office), f"{path}/c")
+    back = read_incidents_csv(spark, path, file_filter="*.csv", by_header=True)
+    return back.groupBy("ori").agg(
+        F.count("*").alias("rows"),
+        F.count("hour").alias("hours"),
+        F.sum("total_offense").alias("offenses"),
+        F.count("stolen_motor").alias("with_motor"),
+        F.sum("stolen_motor").alias("stolen_motor"),
+        F.sum("theft_offense").alias("thefts"),
+        F.sum(F.col("property_value").cast("decimal(18,2)")).cast("double").alias("property_value"),
+    )
+
+
 @query
 def schema_report(spark, folder):
     """Columns and types of the derived incidents, beside their number of rows."""
@@ -379,6 +406,8 @@ def evaluation(spark, folder):
 
 # Partitions of the training rows: a model of the catalog depends on the data alone.
 TRAIN_PARTITIONS = 8
+# Property values in a smaller share of the training rows are rare.
+PROPERTY_SHARE = 0.007
 
 
 def _split_features(spark, folder):
@@ -432,7 +461,7 @@ def scored(spark, folder):
 @query
 def model_roundtrip(spark, folder):
     train, test = _split_features(spark, folder)
-    model = _fitted(train, "lr", max_iter=10)
+    model = _fitted(train, "lr")
     path = scratch_path(spark, "model")
     ml.save_model(model, path)
     once = ml.score(model, test).select(*test.columns, F.col("prediction").alias("before"))
@@ -485,13 +514,97 @@ def calendar_features(spark, folder):
     )
     columns = (*CATEGORICAL, "day_of_week", "hour_band")
     train, test = split.hash_split(materialize(df.select(*columns, *NUMERIC, "INCIDENT_TYPE", ID), "features"))
-    model = _fitted(train, "lr", categorical=columns, max_iter=5)
+    model = _fitted(train, "lr", categorical=columns)
     widths = ml.category_sizes(model)
     rows = ml.score(model, test).agg(F.count("*").alias("scored_rows"))
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(widths[c]).cast("bigint").alias("width")) for c in columns])
     return rows.select(F.inline(entries), "scored_rows")
 
 
+@query
+def property_features(spark, folder):
+    """Two multi-hot vectors, of property descriptions and of completion marks, in the features of a fitted model.
+
+    For each test incident the values that are set, whether one of them is rare, and the width of all features.
+    """
+    raw = incidents(spark, folder).join(incident_properties(spark, folder), "incident_number", "left")
+    columns = [*CATEGORICAL, *NUMERIC, *PROPERTY_COLUMNS, *ATTEMPT_COLUMNS, "INCIDENT_TYPE", ID]
+    train, test = split.hash_split(materialize(clean.derive(raw).select(*columns), "features"))
+    vectors = {"properties": PROPERTY_COLUMNS, "attempts": ATTEMPT_COLUMNS}
+    model = _fitted(train, "lr", multi_hot=vectors, min_share=PROPERTY_SHARE)
+    scored = ml.score(model, test)
+    places = {s.getOutputCol(): s.size() for s in model.stages if isinstance(s, multihot.MultiHotModel)}
+    set_values = {c: F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, x: a + x).cast("bigint") for c in places}
+    return scored.select(
+        ID,
+        *[n.alias(f"n_{c}") for c, n in set_values.items()],
+        (F.get(vector_to_array("properties"), places["properties"] - 1) == 1).alias("has_rare"),
+        *[F.lit(n).cast("bigint").alias(f"{c}_width") for c, n in places.items()],
+        F.lit(ml.vector_size(scored)).cast("bigint").alias("features_width"),
+    )
+
+
+@query
+def demographic_features(spark, folder):
+    """Counters of victims and offenders as further numeric features of a fitted model: sums over the scored rows."""
+    conditions = counters.demographic_conditions()
+    found = counters.conditional_counters(incident_persons(spark, folder), "incident_number", conditions)
+    raw = counters.add_counters(incidents(spark, folder), found, "incident_number")
+    numeric = (*NUMERIC, *conditions)
+    columns = [*CATEGORICAL, *numeric, "INCIDENT_TYPE", ID]
+    train, test = split.hash_split(materialize(clean.derive(raw, numeric=numeric).select(*columns), "features"))
+    scored = ml.score(_fitted(train, "lr", numeric=numeric), test)
+    return scored.groupBy("INCIDENT_TYPE").agg(
+        F.count("*").alias("scored_rows"),
+        *[F.sum(c).alias(c) for c in conditions],
+        F.lit(ml.vector_size(scored)).cast("bigint").alias("features_width"),
+    )
+
+
+@query
+def weighted_metrics(spark, folder):
+    """A model fitted with balanced labels: support and weight of each class, and whether MLlib's weighted evaluator agrees."""
+    train, test = _split_features(spark, folder)
+    weights = materialize(ml.class_weights(train), "weights")
+    model = _fitted(ml.add_weights(train, weights), "lr", weightCol="weight")
+    scored = materialize(ml.score(model, ml.add_weights(test, weights)).select("label", "prediction", "weight"), "scored")
+    cells = materialize(metrics.confusion(scored, also="weight"), "confusion")
+    balanced = metrics.reweighted(cells)
+    overall = metrics.global_metrics(balanced).first()
+    same = True
+    for name, value in (("accuracy", overall["accuracy"]), ("f1", overall["f1"])):
+        evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", weightCol="weight", metricName=name)
+        same = same and abs(evaluator.evaluate(scored) - value) < 1e-9
+    names = ml.label_names(model)
+    plain = metrics.per_class_metrics(cells.drop("weight"), names).select("class", "support")
+    # With equal weight for each class, a model that always says the same is right in about one of as many cases.
+    beats = overall["accuracy"] > 1.5 / len(names)
+    weighted = metrics.per_class_metrics(balanced, names).select("class", F.round("support", 6).alias("weight"))
+    return plain.join(weighted, "class").withColumns({"beats_one_class": F.lit(beats), "equals_evaluator": F.lit(same)})
+
+
+@query
+def customer_ranks(spark, folder):
+    """Customers and states by their number of incidents: a key with one value in ten rows beside a small column."""
+    return rank.ranked_values(_with_customer(spark, folder), ["customer", "state"])
+
+
+@query
+def customer_index(spark, folder):
+    """Each test incident with the places of its customer and state among the training rows."""
+    df = _with_customer(spark, folder).withColumn("is_train", split.in_train(F.col("incident_number")))
+    df = materialize(df, "customers")
+    ranks = materialize(rank.ranked_values(df.filter("is_train"), ["customer", "state"]), "ranks")
+    test = df.filter("not is_train").select("incident_number", "customer", "state")
+    return rank.with_ranks(test, ranks, ["customer", "state"]).drop("customer", "state")
+
+
+def _with_customer(spark, folder):
+    (orders,) = load_tables(spark, folder, "orders")
+    customers = orders.select(F.col("o_orderkey").alias("incident_number"), F.concat(F.lit("C"), "o_custkey").alias("customer"))
+    return clean.filter_valid(incidents(spark, folder)).select("incident_number", "state").join(customers, "incident_number")
+
+
 # --- Whole jobs ---
 
 
@@ -540,11 +653,43 @@ def retrained(spark, folder):
     write_incidents_parquet(features(spark, folder).select(*columns), path)
     rows = read_incidents_parquet(spark, path).filter(F.col("MONTH").isin([str(m) for m in range(1, 7)]))
     train, test = split.hash_split(rows)
-    model = _fitted(train, "lr", max_iter=5)
+    model = _fitted(train, "lr")
     months = ml.category_sizes(model)["MONTH"]
     return ml.score(model, test).agg(F.count("*").alias("scored_rows"), F.lit(months).cast("bigint").alias("months"))
 
 
+@query
+def incremental_retraining(spark, folder):
+    """Two deliveries of incident files, and a third run that finds nothing new.
+
+    The second delivery has the rest of the incidents, in another order of columns, and corrects some of the first. A row for
+    each run: what it read, what the store holds then, and whether a model was trained (with the default iterations).
+    """
+    source, out = scratch_path(spark, "deliveries"), scratch_path(spark, "retraining")
+    df = incidents(spark, folder)
+    key = F.col("incident_number")
+    first, rest = df.filter(key % 3 != 0), df.filter(key % 3 == 0)
+    corrected = first.filter(key % 10 == 1).withColumn("total_offense", F.col("total_offense") + 1)
+    second = rest.unionByName(corrected).select(*reversed(df.columns))
+    rows = []
+    for run, delivery in enumerate((first, second, None), 1):
+        if delivery is not None:
+            write_csv(delivery, f"{source}/delivery{run}")
+        found = retrain(spark, source, out, "lr", partitions=TRAIN_PARTITIONS)
+        store = read_store(spark, f"{out}/store").agg(F.count("*"), F.sum("TOTAL_DELITOS")).first()
+        summary = found.summary.first() if found.summary else None
+        rows.append(
+            (
+                run, sum(b.records_total for b in found.batches), sum(b.replaced for b in found.batches), store[0], store[1],
+                summary["train_rows"] if summary else None, summary["test_rows"] if summary else None,
+                found.model.stages[-1].getMaxIter() if found.model else None,
+            )
+        )
+    published = read_metrics(spark, f"{out}/metrics").agg(F.count("*").alias("published_models"))
+    schema = "run int, read_rows bigint, replaced_rows bigint, stored_rows bigint, offenses bigint, train_rows bigint, test_rows bigint, iterations int"
+    return spark.createDataFrame(rows, schema).join(published)
+
+
 @query
 def feature_width(spark, folder):
     train, _ = _split_features(spark, folder)
@@ -637,6 +782,59 @@ def published_metrics(spark, folder):
     )
 
 
+def _event_metrics(spark, folder):
+    """A run summary for each user of the events: shares of its events as metrics, three algorithms."""
+    (events,) = load_tables(spark, folder, "events")
+    runs_of = events.groupBy("user_id").agg(
+        F.min("ts").alias("ts"), F.count("*").alias("n"), F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.count_if(F.col("event_type") == "view").alias("views"),
+    )
+    values = {
+        "run_timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        "algorithm": F.concat(F.lit("model "), (F.col("user_id") % 3).cast("string")),
+        "model_path": F.col("user_id").cast("string"),
+        "metrics": F.struct((F.col("clicks") / F.col("n")).alias("accuracy"), (F.col("views") / F.col("n")).alias("f1")),
+        "records_total": F.col("n"),
+    }
+    return runs_of.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA.fields])
+
+
+@query
+def metric_trend(spark, folder):
+    """Every run is published, some of them again and some with a corrected figure: each counts once, as it was last."""
+    path = scratch_path(spark, "metrics")
+    summaries = materialize(_event_metrics(spark, folder), "summaries")
+    key = F.col("model_path")
+    write_metrics(summaries, path, key)
+    write_metrics(summaries.filter(key.cast("int") % 2 == 0), path, key)
+    better = F.struct(F.col("metrics.accuracy").alias("accuracy"), (F.col("metrics.f1") + 0.125).alias("f1"))
+    write_metrics(summaries.filter(key.cast("int") % 5 == 0).withColumn("metrics", better), path, key)
+    found = run_ops.metric_trend(read_metrics(spark, path))
+    return found.withColumns({c: F.round(c, 6) for c, kind in found.dtypes if kind == "double"})
+
+
+@query
+def broken_summaries(spark, folder):
+    """Runs whose summaries are good, without a total, broken, of another form, missing, empty, or left by an earlier run."""
+    path = scratch_path(spark, "summaries")
+    kind = F.col("run") % 7
+    planned = runs(spark, folder).withColumn(
+        "started", F.when(kind == 6, F.lit("2200-01-01 00:00:00")).otherwise(F.lit("2000-01-01 00:00:00")).cast("timestamp")
+    )
+    record = F.to_json(F.struct(F.lit("x").alias("algorithm"), F.col("total_runtime_seconds"), "timings_seconds"))
+    line = (
+        F.when(kind == 1, F.to_json(F.struct("timings_seconds")))
+        .when(kind == 2, F.substring(record, 1, 20))
+        .when(kind == 3, F.lit('{"algorithm": "x", "total_runtime_seconds": "soon"}'))
+        .when(kind == 5, F.lit('{"algorithm": "x", "total_runtime_seconds": 0}'))
+        .otherwise(record)
+    )
+    files = planned.filter(kind != 4).select(line.alias("line"), "summary_file")
+    files.write.partitionBy("summary_file").text(path)
+    found = read_run_summaries(spark, path, rejects=True)
+    return run_ops.recorded_runs(planned, found).withColumns({c: F.round(c, 2) for c in ("runtime_seconds", "wall_seconds")})
+
+
 @query
 def latest_summary(spark, folder):
     legacy, current = _summaries(spark, folder)

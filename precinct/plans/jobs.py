@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from precinct.functions import day_type, incident_date
 from precinct.operators import analysis, clean, metrics, ml, reports, split
-from precinct.schema import ALGORITHM_NAMES, WEEKEND_DAYS
+from precinct.schema import ALGORITHM_NAMES, CATEGORICAL, NUMERIC, WEEKEND_DAYS
 from precinct.session import scratch_tables, shuffle_partitions
 from precinct.sources import (
     read_result_csv,
@@ -44,6 +44,7 @@ def train_and_evaluate(
     key: str = "A_INCIDENT_ID",
     partitions: int | None = None,
     shuffles: int | None = None,
+    weighted: bool = False,
     **params,
 ) -> DataFrame:
     """Derive features, write the result tables, fit, score, evaluate, save; returns the run summary.
@@ -52,7 +53,9 @@ def train_and_evaluate(
     the way, and all later passes read the columns they need from there. The test rows are scored once; every
     metric comes from their confusion table. ``partitions`` is how many the training rows are brought into (as
     they are stored if None), ``shuffles`` the initial shuffle partitions of the job (the session's if None);
-    ``session.partitions_for`` gives a number for an input size.
+    ``session.partitions_for`` gives a number for an input size. ``weighted`` balances the labels: each training row
+    weighs rows / (labels * rows of its label), and the metrics weigh the test rows alike; the tables of plain counts
+    are written as well. ``numeric`` among ``params`` may name further columns of the raw rows.
     """
     timings: dict[str, float] = {}
     started = time.time()
@@ -68,8 +71,9 @@ def train_and_evaluate(
         with phase("feature_engineering_seconds"):
             seen = Observation()
             counted = raw.observe(seen, F.count("*").alias("records_total"))
+            numeric = params.get("numeric", NUMERIC)
             keep = [*ml.input_columns(ml.build_pipeline(algorithm, **params)), key]
-            derived = clean.derive(counted).withColumn("is_train", split.in_train(F.col(key), train))
+            derived = clean.derive(counted, numeric=numeric).withColumn("is_train", split.in_train(F.col(key), train))
             features = table(derived.select(*dict.fromkeys(keep), "is_train"), "features")
             records_total = seen.get["records_total"]
 
@@ -96,15 +100,24 @@ def train_and_evaluate(
                     .asDict()
                 )
 
+        if weighted:
+            counts = train_rows.groupBy("INCIDENT_TYPE").count() if random else _label_counts(cells.filter("is_train"))
+            weights = table(ml.balanced_weights(counts), "weights")
+            train_rows, test_rows = ml.add_weights(train_rows, weights), ml.add_weights(test_rows, weights)
+            params["weightCol"] = "weight"
+
         with phase("fit_seconds"):
             model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, partitions, (key,))
 
         with phase("evaluate_seconds"):
-            confusion = table(metrics.confusion(ml.score(model, test_rows)), "confusion")
+            confusion = table(metrics.confusion(ml.score(model, test_rows), also="weight" if weighted else None), "confusion")
             labels = ml.label_names(model)
+            if weighted:
+                balanced = metrics.reweighted(confusion)
+                write_csv(metrics.per_class_metrics(balanced, labels), f"{out}/per_class_metrics_{algorithm}_weighted")
             write_csv(metrics.index_to_name(confusion, labels), f"{out}/confusion_{algorithm}")
             write_csv(metrics.per_class_metrics(confusion, labels), f"{out}/per_class_metrics_{algorithm}")
-            overall = metrics.global_metrics(confusion)
+            overall = metrics.global_metrics(balanced if weighted else confusion)
 
         with phase("save_model_seconds"):
             ml.save_model(model, model_path)
@@ -121,6 +134,8 @@ def train_and_evaluate(
             data_file,
             model_path,
             F.lit(time.time() - started),
+            params.get("categorical", CATEGORICAL),
+            numeric,
         )
         write_summary(summary, f"{out}/summary_{algorithm}")
 
@@ -129,6 +144,10 @@ def train_and_evaluate(
     return stored
 
 
+def _label_counts(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("INCIDENT_TYPE").agg(F.sum("n").alias("count"))
+
+
 def report(spark: SparkSession, out: str, algorithm: str = "lr") -> DataFrame:
     """Text report of a finished run, from the tables it wrote. Tables that are missing are left out."""
     distribution = read_result_csv(spark, f"{out}/incident_type_distribution", DISTRIBUTION_SCHEMA)

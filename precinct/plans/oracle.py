@@ -249,6 +249,92 @@ def _report() -> str:
     )
 
 
+_PROPERTIES = (
+    _FEATURES
+    + """,
+lines AS (
+  SELECT l_orderkey, l_linenumber AS k, p_type || '/' || p_brand AS kind,
+    CASE l_linestatus WHEN 'F' THEN 'C' WHEN 'O' THEN 'A' END AS mark
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 3),
+properties AS (
+  SELECT l_orderkey, list_distinct([min(kind) FILTER (WHERE k = 1), min(kind) FILTER (WHERE k = 2), min(kind) FILTER (WHERE k = 3)])
+      AS kinds,
+    list_distinct([min(mark) FILTER (WHERE k = 2), min(mark) FILTER (WHERE k = 3)]) AS marks
+  FROM lines GROUP BY l_orderkey),
+described AS (
+  SELECT f.*, coalesce(kinds, []) AS kinds, coalesce(marks, []) AS marks
+  FROM features f LEFT JOIN properties ON A_INCIDENT_ID = l_orderkey),
+known AS (
+  SELECT value FROM (SELECT unnest(kinds) AS value FROM described WHERE pct < 80) GROUP BY value
+  HAVING count(*) >= 0.007 * (SELECT count(*) FROM features WHERE pct < 80)),
+dict AS (SELECT DISTINCT INCIDENT_TYPE FROM features WHERE pct < 80)"""
+)
+_DEMOGRAPHIC = {
+    "minor_victims": "l_returnflag <> 'R' AND age < 18",
+    "female_victims": "l_returnflag <> 'R' AND l_linestatus = 'F'",
+    "male_victims": "l_returnflag <> 'R' AND l_linestatus = 'O'",
+    "minor_offenders": "l_returnflag = 'R' AND age < 18",
+    "female_offenders": "l_returnflag = 'R' AND l_linestatus = 'F'",
+    "male_offenders": "l_returnflag = 'R' AND l_linestatus = 'O'",
+}
+_WIDTH = " + ".join(f"(SELECT count(DISTINCT {c}) FROM features WHERE pct < 80)" for c in CATEGORICAL) + f" + {len(NUMERIC)}"
+_SCORED = "pct >= 80 AND INCIDENT_TYPE IN (SELECT INCIDENT_TYPE FROM dict)"
+_PERSONS = (
+    _LABELS
+    + """,
+persons AS (
+  SELECT l_orderkey, """
+    + ", ".join(f"count(*) FILTER (WHERE {e}) AS {c}" for c, e in _DEMOGRAPHIC.items())
+    + """ FROM (SELECT *, CASE WHEN l_partkey % 11 <> 0 THEN CAST(floor(l_quantity) AS INTEGER) END AS age FROM lineitem)
+  GROUP BY l_orderkey)"""
+)
+_CUSTOMERS = (
+    _INCIDENTS
+    + """,
+customers AS (
+  SELECT incident_number, state, 'C' || o_custkey AS customer,
+    CAST('0x' || substr(md5('split' || CAST(incident_number AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.8 AS is_train
+  FROM incidents JOIN orders ON incident_number = o_orderkey WHERE total_offense > 0)"""
+)
+
+
+def _customer_ranks(condition: str) -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS "count",
+  CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS idx FROM customers WHERE {condition} GROUP BY {c}"""
+        for c in ("customer", "state")
+    )
+
+
+_DELIVERIES = (
+    _FEATURES
+    + """,
+stored AS (
+  SELECT 1 AS run, *, TOTAL_DELITOS AS d FROM features WHERE A_INCIDENT_ID % 3 <> 0
+  UNION ALL
+  SELECT 2, *, TOTAL_DELITOS + CASE WHEN A_INCIDENT_ID % 3 <> 0 AND A_INCIDENT_ID % 10 = 1 THEN 1 ELSE 0 END FROM features),
+state AS (
+  SELECT run, count(*) AS stored_rows, CAST(sum(d) AS BIGINT) AS offenses, count(*) FILTER (WHERE pct < 80) AS train_rows,
+    count(*) FILTER (WHERE pct >= 80) AS test_rows FROM stored GROUP BY run),
+arrived AS (
+  SELECT 1 AS run, count(*) AS read_rows, 0 AS replaced_rows FROM incidents WHERE incident_number % 3 <> 0
+  UNION ALL
+  SELECT 2, count(*), count(*) FILTER (WHERE incident_number % 3 <> 0 AND total_offense > 0) FROM incidents
+  WHERE incident_number % 3 = 0 OR incident_number % 10 = 1)"""
+)
+_TREND = """
+SELECT algorithm, run_key, CAST(row_number() OVER o AS INTEGER) AS run, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1,
+  round(accuracy - lag(accuracy) OVER o, 6) AS accuracy_change, round(f1 - lag(f1) OVER o, 6) AS f1_change,
+  round(avg(accuracy) OVER (o ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS accuracy_mean,
+  round(avg(f1) OVER (o ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS f1_mean, f1 >= max(f1) OVER o AS is_best
+FROM (
+  SELECT 'model ' || CAST(user_id % 3 AS VARCHAR) AS algorithm, CAST(user_id AS VARCHAR) AS run_key, min(ts) AS ts,
+    count(*) FILTER (WHERE event_type = 'click') / count(*) AS accuracy,
+    count(*) FILTER (WHERE event_type = 'view') / count(*) + CASE WHEN user_id % 5 = 0 THEN 0.125::DOUBLE ELSE 0 END AS f1
+  FROM events GROUP BY user_id)
+WINDOW o AS (PARTITION BY algorithm ORDER BY ts, run_key)
+"""
+
 ORACLE = {
     "csv_roundtrip_count": _sql(
         _INCIDENTS,
@@ -381,6 +467,65 @@ UNION ALL SELECT 'report_lines', count(DISTINCT INCIDENT_TYPE) FROM features""",
   count(*) FILTER (WHERE h < 0.8) AS train_rows, count(*) FILTER (WHERE h >= 0.8) AS test_rows
 FROM (SELECT id, CAST('0x' || substr(md5('split' || id), 1, 8) AS BIGINT) / 4294967296.0 AS h
   FROM (SELECT 'AB-' || lpad(CAST(A_INCIDENT_ID AS VARCHAR), 9, '0') AS id FROM features))""",
+    ),
+    "csv_mixed_headers": _sql(
+        _INCIDENTS,
+        """SELECT CASE WHEN incident_number % 3 = 2 THEN 'ORI' || (incident_number % 10) END AS ori, count(*) AS rows,
+  count(hour) AS hours, CAST(sum(total_offense) AS BIGINT) AS offenses,
+  count(*) FILTER (WHERE incident_number % 3 <> 2) AS with_motor,
+  CAST(sum(stolen_motor) FILTER (WHERE incident_number % 3 <> 2) AS BIGINT) AS stolen_motor,
+  CAST(sum(theft_offense) AS BIGINT) AS thefts, CAST(sum(CAST(property_value AS DECIMAL(18, 2))) AS DOUBLE) AS property_value
+FROM incidents GROUP BY 1""",
+    ),
+    "property_features": _sql(
+        _PROPERTIES,
+        f"""SELECT A_INCIDENT_ID,
+  CAST(len(list_intersect(kinds, ks)) + CASE WHEN len(list_intersect(kinds, ks)) < len(kinds) THEN 1 ELSE 0 END AS BIGINT)
+    AS n_properties,
+  CAST(len(marks) AS BIGINT) AS n_attempts, len(list_intersect(kinds, ks)) < len(kinds) AS has_rare,
+  (SELECT count(*) FROM known) + 1 AS properties_width, CAST(3 AS BIGINT) AS attempts_width,
+  {_WIDTH} + (SELECT count(*) FROM known) + 1 + 3 AS features_width
+FROM described, (SELECT coalesce(list(value), []) AS ks FROM known) WHERE {_SCORED}""",
+    ),
+    "demographic_features": _sql(
+        _PERSONS,
+        f"""SELECT INCIDENT_TYPE, count(*) AS scored_rows,
+  {", ".join(f"CAST(sum(coalesce({c}, 0)) AS BIGINT) AS {c}" for c in _DEMOGRAPHIC)},
+  {_WIDTH} + {len(_DEMOGRAPHIC)} AS features_width
+FROM features LEFT JOIN persons ON A_INCIDENT_ID = l_orderkey WHERE {_SCORED} GROUP BY INCIDENT_TYPE""",
+    ),
+    "weighted_metrics": _sql(
+        _LABELS,
+        """SELECT INCIDENT_TYPE AS class, n AS support,
+  round(n * ((SELECT CAST(sum("count") AS DOUBLE) / count(*) FROM dict) / "count"), 6) AS weight,
+  true AS beats_one_class, true AS equals_evaluator
+FROM (SELECT dict.*, (SELECT count(*) FROM features f WHERE pct >= 80 AND f.INCIDENT_TYPE = dict.INCIDENT_TYPE) AS n FROM dict)""",
+    ),
+    "customer_ranks": _sql(_CUSTOMERS, f'SELECT "column", value, "count", idx FROM ({_customer_ranks("true")})'),
+    "customer_index": _sql(
+        _CUSTOMERS + f",\nranks AS ({_customer_ranks('is_train')})",
+        """SELECT incident_number,
+  coalesce(c.idx, (SELECT CAST(count(*) AS DOUBLE) FROM ranks WHERE "column" = 'customer')) AS customer_idx,
+  coalesce(s.idx, (SELECT CAST(count(*) AS DOUBLE) FROM ranks WHERE "column" = 'state')) AS state_idx
+FROM customers LEFT JOIN ranks c ON c."column" = 'customer' AND c.value = customer
+LEFT JOIN ranks s ON s."column" = 'state' AND s.value = state WHERE NOT is_train""",
+    ),
+    "incremental_retraining": _sql(
+        _DELIVERIES,
+        """SELECT r.run, CAST(coalesce(read_rows, 0) AS BIGINT) AS read_rows, CAST(coalesce(replaced_rows, 0) AS BIGINT) AS replaced_rows,
+  stored_rows, offenses, CASE WHEN r.run < 3 THEN train_rows END AS train_rows, CASE WHEN r.run < 3 THEN test_rows END AS test_rows,
+  CASE WHEN r.run < 3 THEN 50 END AS iterations, CAST(2 AS BIGINT) AS published_models
+FROM (SELECT unnest([1, 2, 3]) AS run) r JOIN state ON state.run = least(r.run, 2) LEFT JOIN arrived ON arrived.run = r.run""",
+    ),
+    "metric_trend": _TREND,
+    "broken_summaries": _sql(
+        _RUNS,
+        """SELECT run, workers, round(CASE WHEN run % 7 IN (0, 1) THEN total ELSE wall_seconds END, 2) AS runtime_seconds,
+  round(wall_seconds, 2) AS wall_seconds, summary_file,
+  CASE WHEN run % 7 = 0 AND run % 5 <> 0 THEN 'total' WHEN run % 7 IN (0, 1) THEN 'phases' ELSE 'wall' END AS source,
+  CASE run % 7 WHEN 2 THEN 'broken' WHEN 3 THEN 'broken' WHEN 4 THEN 'missing' WHEN 5 THEN 'empty' WHEN 6 THEN 'stale' ELSE 'good' END
+    AS summary
+FROM (SELECT timed.*, total FROM timed JOIN runs USING (run))""",
     ),
     "schema_report": _sql(
         _FEATURES,

@@ -43,6 +43,9 @@ NUMERIC = (
     "property_value",
 )
 DOUBLES = ("property_value",)
+MINOR_AGE = 18
+PROPERTY_COLUMNS = ("property_description1", "property_description2", "property_description3")
+ATTEMPT_COLUMNS = ("completed_attempted2", "completed_attempted3")
 
 PIVOT_LABELS = ("THEFT", "VIOLENCE", "SEX", "DRUG", "OTHER", "MULTIPLE", "KIDNAPPING_TRAFFICKING")
 FOCUS_LABELS = ("THEFT", "VIOLENCE", "SEX", "DRUG")

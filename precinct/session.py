@@ -94,10 +94,21 @@ def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], D
             remove(spark, path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system it is."""
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
 
 
 def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:

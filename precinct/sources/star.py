@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precinct.schema import INCIDENT_SCHEMA
@@ -94,3 +94,34 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
             F.format_string("run_workers%d_iter%d.json", workers, user).alias("summary_file"),
         )
     )
+
+
+def incident_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Property descriptions and completion marks of each incident, from its first three line items and their parts.
+
+    Line items are aggregated by order before anything else is joined to them; a number that stands twice gives the
+    smaller value.
+    """
+    lineitem, part = load_tables(spark, folder, "lineitem", "part")
+    kinds = part.select("p_partkey", F.concat_ws("/", "p_type", "p_brand").alias("kind"))
+    items = lineitem.filter(F.col("l_linenumber") <= 3).join(kinds, lineitem["l_partkey"] == kinds["p_partkey"], "left")
+    mark = F.when(F.col("l_linestatus") == "F", "C").when(F.col("l_linestatus") == "O", "A")
+
+    def of_line(number: int, value: Column) -> Column:
+        return F.min(F.when(F.col("l_linenumber") == number, value))
+
+    return items.groupBy(F.col("l_orderkey").alias("incident_number")).agg(
+        *[of_line(i, F.col("kind")).alias(f"property_description{i}") for i in (1, 2, 3)],
+        *[of_line(i, mark).alias(f"completed_attempted{i}") for i in (2, 3)],
+    )
+
+
+def incident_persons(spark: SparkSession, folder: str) -> DataFrame:
+    """A person for each line item: incident_number, role, age (unknown for some) and sex."""
+    (lineitem,) = load_tables(spark, folder, "lineitem")
+    return lineitem.select(
+        F.col("l_orderkey").alias("incident_number"),
+        F.when(F.col("l_returnflag") == "R", "offender").otherwise("victim").alias("role"),
+        F.when(F.col("l_partkey") % 11 != 0, F.col("l_quantity").cast("int")).alias("age"),
+        F.when(F.col("l_linestatus") == "F", "F").when(F.col("l_linestatus") == "O", "M").alias("sex"),
+    )

@@ -6,7 +6,8 @@ result into one file by itself, and a large result is written in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -39,6 +40,13 @@ def write_incidents_parquet(
         df.write.mode("overwrite").parquet(path)
 
 
-def write_metrics(summaries: DataFrame, path: str) -> None:
-    """Append run summaries to the Parquet table of published metrics."""
-    summaries.write.mode("append").parquet(path)
+def write_metrics(summaries: DataFrame, path: str, run_key: Column | None = None) -> None:
+    """Publish run summaries: Parquet, one folder for each run.
+
+    ``run_key`` names a run (a digest of algorithm, time stamp and model path by default). Publishing a run again puts
+    it in the place of what was published before; other runs are not touched.
+    """
+    if run_key is None:
+        run_key = F.sha1(F.concat_ws("|", "algorithm", "run_timestamp", "model_path"))
+    rows = summaries.withColumn("run_key", run_key.cast("string"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_key").parquet(path)
