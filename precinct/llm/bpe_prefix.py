@@ -11,14 +11,13 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from precinct.llm.common import chunks, ragged, text_buffers
+from precinct.llm.common import chunks, held_state, ragged, text_buffers
 from precinct.llm.pretokens import PieceTable, split_pieces
 
 _SPAN = 1 << 20
@@ -195,10 +194,12 @@ class PrefixTable:
         return self.vocabulary.encode_piece(self.piece) if self.piece in self.vocabulary.ids else self.vocabulary.backtrack(self.last)
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str) -> tuple[Vocabulary, PieceTable]:
-    vocabulary = Vocabulary(load_ranks(path))
-    return vocabulary, PieceTable(vocabulary.encode_pieces)
+    def make() -> tuple[Vocabulary, PieceTable]:
+        vocabulary = Vocabulary(load_ranks(path))
+        return vocabulary, PieceTable(vocabulary.encode_pieces)
+
+    return held_state(("bpe", path), make)
 
 
 def encode_batch(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

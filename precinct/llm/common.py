@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,9 @@ from precinct.session import materialize
 # Bytes of text that a task works on at once; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 19
 
+# glibc's; other C libraries have none.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _GOLDEN = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2^64
 
@@ -31,12 +35,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 # --- Arrow and numpy ---
 
 
+def give_back() -> None:
+    """Free memory that Arrow's pool and the C library keep for later goes back to the system.
+
+    A worker process lives as long as its executor; what one stage has touched would be kept beside the next one's.
+    """
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column, without a copy, and the row offsets into them; null is empty.
 
-    What the batches before have left in Arrow's memory pool goes back to the system.
+    What the batches before have left behind goes back to the system.
     """
-    pa.default_memory_pool().release_unused()
+    give_back()
     if column.null_count:
         column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -79,33 +93,63 @@ def random_words(n: int, seed: int) -> np.ndarray:
 BYTE_WORDS = random_words(256, 1)
 
 
+# Powers of the base and of its inverse within a block; a block number turns them into those of any place.
+_BLOCK = 1 << 16
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base & ((1 << 64) - 1), np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWERS, _INVERSES = _powers(_BASE, _BLOCK), _powers(pow(_BASE, -1, 1 << 64), _BLOCK)
+
+
 class RollingHash:
-    """Hashes of byte ranges of one buffer: prefix sums of byte words times powers, modulo 2^64."""
-
-    _powers = np.ones(1, np.uint64)
-    _inverses = np.ones(1, np.uint64)
-
-    def __init__(self, words: np.ndarray):
-        n = len(words) + 1
-        if len(self._powers) < n:
-            size = max(CHUNK_BYTES + 1, 1 << n.bit_length())
-            inverse = pow(_BASE, -1, 1 << 64)
-            RollingHash._powers = self._table(_BASE, size)
-            RollingHash._inverses = self._table(inverse, size)
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(words * self._powers[: n - 1], out=self.sums[1:])
-
-    @staticmethod
-    def _table(base: int, size: int) -> np.ndarray:
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        return np.cumprod(out, dtype=np.uint64)
+    """Hashes of byte ranges of one buffer: prefix sums of byte words times powers, modulo 2^64.
+
+    ``words`` gives the word of each byte value. Besides the sums nothing grows with the buffer, and nothing outlives it.
+    """
+
+    def __init__(self, data: np.ndarray, words: np.ndarray):
+        blocks = -(-len(data) // _BLOCK) or 1
+        steps = _powers(pow(_BASE, _BLOCK, 1 << 64), blocks)
+        self.inverse_steps = _powers(pow(_BASE, -_BLOCK, 1 << 64), blocks + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        for k in range(blocks):
+            part = words[data[k * _BLOCK : (k + 1) * _BLOCK]]
+            part *= _POWERS[: len(part)]
+            part *= steps[k]
+            out = self.sums[k * _BLOCK + 1 : k * _BLOCK + 1 + len(part)]
+            np.cumsum(part, out=out)
+            out += self.sums[k * _BLOCK]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self.sums[ends] - self.sums[starts]) * self._inverses[starts]
+        raw = self.sums[ends] - self.sums[starts]
+        raw *= _INVERSES[starts & (_BLOCK - 1)]
+        if len(self.inverse_steps) > 2:
+            raw *= self.inverse_steps[starts >> 16]
         return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(_GOLDEN))
 
 
+# --- State of a worker process ---
+
+_HELD: dict[tuple, object] = {}
+
+
+def held_state(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept for the next tasks of this worker until another operator holds a state of its own.
+
+    A worker outlives the stages of a job; so it never has the vocabularies and tables of two of them.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+        give_back()
+    return _HELD[key]
+
+
 # --- Order ---
 
 

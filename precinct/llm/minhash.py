@@ -45,7 +45,7 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all rows, and the row offsets in them."""
     starts, ends, bounds = word_places(data, offsets)
-    return RollingHash(_LOWER_WORDS[data]).of(starts, ends), bounds
+    return RollingHash(data, _LOWER_WORDS).of(starts, ends), bounds
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:

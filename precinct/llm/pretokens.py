@@ -82,48 +82,68 @@ def split_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[begin]
 
 
-class PieceTable:
-    """Ids of the distinct pieces seen so far, by 64-bit hash, up to a bound; beyond it the table starts anew."""
-
-    def __init__(self, encode_misses: Callable[[list[bytes]], list[list[int]]], most: int = 250_000):
-        self.encode_misses, self.most = encode_misses, most
-        self._reset()
+class _Generation:
+    """Pieces by hash, with their ids one after the other."""
 
-    def _reset(self) -> None:
+    def __init__(self):
         self.keys = np.zeros(0, np.uint64)
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        return place, (self.keys[place] == keys) if len(self.keys) else np.zeros(len(keys), bool)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key is, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return place, self.keys[place] == keys
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Merge sorted new ``keys``, whose ids stand in ``ids`` in the same order."""
+        place = np.searchsorted(self.keys, keys)
+        starts = np.cumsum(counts) - counts + len(self.pool)
+        self.keys = np.insert(self.keys, place, keys)
+        self.starts = np.insert(self.starts, place, starts)
+        self.counts = np.insert(self.counts, place, counts)
+        self.pool = np.concatenate([self.pool, ids])
+
+
+class PieceTable:
+    """Ids of the distinct pieces seen so far, by 64-bit hash, in two generations of at most ``most`` pieces.
+
+    A full generation becomes the old one. Pieces that are met again in the old one come back to the new one, so
+    frequent pieces are never encoded anew, and the old one's rest goes with it.
+    """
+
+    def __init__(self, encode_misses: Callable[[list[bytes]], list[list[int]]], most: int = 400_000):
+        self.encode_misses, self.most = encode_misses, most
+        self.new, self.old = _Generation(), _Generation()
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows of ``data``, and the offsets of the rows in them."""
         begins = split_pieces(data, offsets)
         ends = np.append(begins[1:], len(data))
-        hashes = RollingHash(BYTE_WORDS[data]).of(begins, ends)
+        hashes = RollingHash(data, BYTE_WORDS).of(begins, ends)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.most:
-            self._reset()
-        _, known = self._known(keys)
-        if not known.all():
-            missing = first[~known]
-            raw = data.tobytes()
-            lists = self.encode_misses([raw[a:b] for a, b in zip(begins[missing].tolist(), ends[missing].tolist())])
+        if len(self.new.keys) > self.most:
+            self.new, self.old = _Generation(), self.new
+        _, known = self.new.find(keys)
+        rest = np.flatnonzero(~known)
+        place, known = self.old.find(keys[rest])
+        if known.any():
+            place = place[known]
+            counts = self.old.counts[place]
+            self.new.add(keys[rest[known]], counts, self.old.pool[ragged(self.old.starts[place], counts)])
+        rest = rest[~known]
+        if len(rest):
+            missing = first[rest]
+            raw = memoryview(data)
+            lists = self.encode_misses([bytes(raw[a:b]) for a, b in zip(begins[missing].tolist(), ends[missing].tolist())])
             counts = np.fromiter(map(len, lists), np.int64, len(lists))
-            pool = np.fromiter((i for ids in lists for i in ids), np.uint32, int(counts.sum()))
-            starts = np.cumsum(counts) - counts + len(self.pool)
-            self.pool = np.concatenate([self.pool, pool])
-            merged = np.concatenate([self.keys, keys[~known]])
-            order = np.argsort(merged, kind="stable")
-            self.keys = merged[order]
-            self.starts = np.concatenate([self.starts, starts])[order]
-            self.counts = np.concatenate([self.counts, counts])[order]
-        place, _ = self._known(keys)
-        place = place[inverse]
-        counts = self.counts[place]
-        ids = self.pool[ragged(self.starts[place], counts)]
+            ids = np.fromiter((i for ids in lists for i in ids), np.uint32, int(counts.sum()))
+            self.new.add(keys[rest], counts, ids)
+        place = self.new.find(keys)[0][inverse]
+        counts = self.new.counts[place]
+        ids = self.new.pool[ragged(self.new.starts[place], counts)]
         total = np.concatenate([[0], np.cumsum(counts)])
         return ids, total[np.searchsorted(begins, offsets)]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import BYTE_WORDS, RollingHash, chunks, ragged, shuffle_partitions, sorted_groups, text_buffers
+from precinct.llm.common import BYTE_WORDS, CHUNK_BYTES, RollingHash, chunks, shuffle_partitions, sorted_groups, text_buffers
 from precinct.llm.suffix_array import suffix_array
 from precinct.session import materialize
 
@@ -63,7 +63,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     n = len(data)
     if n < length:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    rolling = RollingHash(BYTE_WORDS[data])
+    rolling = RollingHash(data, BYTE_WORDS)
     starts = np.arange(n - gram + 1)
     grams = rolling.of(starts, starts + gram)
     own = leftmost_minimum(grams, length - gram + 1)
@@ -80,6 +80,21 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     return row[lo], grams[place], context, lo - offsets[row[lo]], hi - lo, at
 
 
+def _pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, bytes before it in its text, bytes, row offsets): rows together, or a long text in overlapping blocks.
+
+    Every window lies in exactly one block, so what is worked on at once does not grow with a text.
+    """
+    for lo, hi in chunks(offsets):
+        a, b = int(offsets[lo]), int(offsets[hi])
+        if hi - lo > 1 or b - a <= CHUNK_BYTES + length:
+            yield lo, 0, data[a:b], offsets[lo : hi + 1] - a
+            continue
+        for at in range(a, b - length + 1, CHUNK_BYTES):
+            part = data[at : min(b, at + CHUNK_BYTES + length - 1)]
+            yield lo, at - a, part, np.array([0, len(part)])
+
+
 # --- Step 4 ---
 
 
@@ -207,14 +222,12 @@ def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame
         for batch in batches:
             doc_ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "key"))
             data, offsets = text_buffers(batch.column("text"))
-            for lo, hi in chunks(offsets):
-                row, gram, context, start, reach, at = contexts(
-                    data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], length, GRAM
-                )
+            for lo, before, part, bounds in _pieces(data, offsets, length):
+                row, gram, context, start, reach, at = contexts(part, bounds, length, GRAM)
                 found = np.zeros(len(row), _CONTEXT)
                 for name, value in (("gram", gram), ("context", context), ("doc_id", doc_ids[lo + row]), ("key", keys[lo + row])):
                     found[name] = value
-                found["lo"], found["reach"], found["at"] = start, reach, at
+                found["lo"], found["reach"], found["at"] = start + before, reach, at
                 found, again = _first_and_covered(found)
                 first = np.concatenate([[True], found["gram"][1:] != found["gram"][:-1]])[: len(found)]
                 number = np.cumsum(first) - 1
@@ -282,10 +295,9 @@ def _bytes_of(rows: DataFrame, length: int) -> DataFrame:
             lo, hi, at, gram, hot = (flat.field(k) for k in range(5))
             row = np.repeat(np.arange(batch.num_rows), counts)
             begin = lo.to_numpy() + offsets[row]
-            size = hi.to_numpy() - lo.to_numpy() + length
-            body = data[ragged(begin, size)].tobytes()
-            ends = np.cumsum(size).tolist()
-            text = [body[a:b] for a, b in zip([0, *ends], ends)]
+            end = begin + (hi.to_numpy() - lo.to_numpy() + length)
+            raw = memoryview(data)
+            text = [bytes(raw[a:b]) for a, b in zip(begin.tolist(), end.tolist())]
             again = pa.array(row)
             columns = [batch.column("doc_id").take(again), batch.column("key").take(again), lo, at, gram, hot, pa.array(text, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lo", "at", "gram", "hot", "bytes"])

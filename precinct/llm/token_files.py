@@ -23,7 +23,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, ordered_buckets, ragged, shuffle_partitions, text_buffers
+from precinct.llm.common import chunks, held_state, ordered_buckets, ragged, shuffle_partitions, text_buffers
 from precinct.llm.pretokens import PieceTable
 from precinct.session import materialize, scratch_path
 
@@ -130,8 +129,20 @@ def segments(content: bytes) -> Iterator[Segment]:
 # --- Encoding and files ---
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str) -> tuple[PieceTable, int]:
+    return _state(path)[:2]
+
+
+def _added_tokens(path: str) -> tuple[re.Pattern | None, dict[bytes, int], object]:
+    """A pattern of the file's added tokens, longest first, their ids, and the library where it alone can place them."""
+    return _state(path)[2]
+
+
+def _state(path: str) -> tuple[PieceTable, int, tuple]:
+    return held_state(("token files", path), lambda: (*_load_tokenizer(path), _load_added(path)))
+
+
+def _load_tokenizer(path: str) -> tuple[PieceTable, int]:
     tokenizer = _library(path)
     tokenizer.encode_special_tokens = True
 
@@ -149,9 +160,7 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=2)
-def _added_tokens(path: str) -> tuple[re.Pattern | None, dict[bytes, int], object]:
-    """A pattern of the file's added tokens, longest first, their ids, and the library where it alone can place them."""
+def _load_added(path: str) -> tuple[re.Pattern | None, dict[bytes, int], object]:
     tokenizer = _library(path)
     added = tokenizer.get_added_tokens_decoder()
     ids = {t.content.encode(): i for i, t in added.items()}

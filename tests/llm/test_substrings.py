@@ -125,3 +125,31 @@ def test_a_lone_earlier_context_of_a_crowded_place_counts(spark, monkeypatch):
     found = substrings.remove_repeats(docs).collect()
     got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found)
     assert got == brute(first + rest)
+
+
+def test_blocks_of_a_long_text_hold_each_window_once(monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 300)
+    monkeypatch.setattr("precinct.llm.common.CHUNK_BYTES", 300)
+    rng = np.random.default_rng(2)
+    sizes = [0, 50, 1000, 399, 400, 401, 5000, 120, 99]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    data = rng.integers(0, 4, offsets[-1]).astype(np.uint8)
+    found = []
+    for row, before, part, bounds in substrings._pieces(data, offsets, 100):
+        assert len(part) <= 500 or len(bounds) > 2
+        own, _, _, lo, reach, _ = substrings.contexts(part, bounds, 100, 32)
+        found += [(row + r, before + a + k) for r, a, n in zip(own.tolist(), lo.tolist(), reach.tolist()) for k in range(n + 1)]
+    assert sorted(found) == [(r, w) for r, n in enumerate(sizes) for w in range(n - 99)]
+
+
+def test_long_texts_equal_brute_force(spark, make_docs):
+    """Texts beyond a block, with passages that repeat across its borders, inside a text and between texts."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, short = noise(3000), noise(100)
+    edge = substrings.CHUNK_BYTES
+    first = noise(edge - 1500) + passage + noise(200_000) + short
+    second = noise(1000) + first[edge - 5000 : edge + 5000] + noise(edge) + passage + noise(50) + short + noise(10)
+    rows = [(1, first), (2, second), (3, short + "x" + passage[:150]), (4, None)]
+    got = substrings.remove_repeats(make_docs(rows)).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows)

@@ -6,11 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from precinct.llm import bpe_prefix, token_files
+from precinct.llm import bpe_prefix, common, pretokens, token_files
 from precinct.llm.common import text_buffers
 from precinct.llm.pretokens import split_pieces
 
@@ -146,3 +147,42 @@ def test_added_tokens_with_flags_equal_the_library(tmp_path):
 def test_empty_table(make_docs):
     assert bpe_prefix.encode(make_docs([])).count() == 0
     assert token_files.token_table(make_docs([])).count() == 0
+
+
+def test_a_worker_holds_one_state():
+    """The state of the operator before is let go, so a worker does not gather those of all stages."""
+    made = []
+    state = lambda name: common.held_state((name,), lambda: made.append(name) or [name])
+    assert state("a") is state("a") and state("b") == ["b"] and made == ["a", "b"]
+    assert state("a") == ["a"] and made == ["a", "b", "a"]
+    assert list(common._HELD) == [("a",)]
+
+
+def test_rolling_hashes_of_long_buffers():
+    """Equal ranges have equal hashes wherever they are, beyond the blocks of powers, too; memory is given back."""
+    data = np.random.default_rng(4).integers(0, 256, 400_000).astype(np.uint8)
+    shifted = np.concatenate([data[:90_001], data])
+    starts = np.arange(0, 399_000, 97)
+    here = common.RollingHash(data, common.BYTE_WORDS).of(starts, starts + 900)
+    assert (here == common.RollingHash(shifted, common.BYTE_WORDS).of(starts + 90_001, starts + 90_901)).all()
+    assert len(np.unique(here)) == len(starts)
+    common.RollingHash(np.zeros(32 << 20, np.uint8), common.BYTE_WORDS)
+    tables = (v for v in vars(common).values() if isinstance(v, np.ndarray))
+    assert sum(v.nbytes for v in tables) < 4 << 20
+    assert common.RollingHash(data[:0], common.BYTE_WORDS).of(np.array([0]), np.array([0])).shape == (1,)
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_generations_of_pieces(most):
+    """Any bound gives the same ids; pieces that keep coming are encoded once as long as a generation holds them."""
+    asked = []
+    table = pretokens.PieceTable(lambda pieces: asked.extend(pieces) or [[p[0], len(p)] for p in pieces], most)
+    rng = np.random.default_rng(most)
+    for k in range(30):
+        texts = [f" hot w{rng.integers(0, 40)} hot n{k} é".encode() for _ in range(5)]
+        data, offsets = common.text_buffers(pa.array(texts))
+        ids, bounds = table.encode(data, offsets)
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+            pieces = [m.encode() for m in regex.findall(public_tokenizers.PATTERN, text.decode())]
+            assert ids[a:b].tolist() == [x for p in pieces for x in (p[0], len(p))]
+    assert asked.count(b" hot") == 1
