@@ -23,6 +23,7 @@ from precinct.sources import (
     incident_properties,
     incidents,
     load_tables,
+    publish_metrics,
     read_incidents_csv,
     read_incidents_parquet,
     read_metrics,
@@ -805,10 +806,10 @@ def metric_trend(spark, folder):
     path = scratch_path(spark, "metrics")
     summaries = materialize(_event_metrics(spark, folder), "summaries")
     key = F.col("model_path")
-    write_metrics(summaries, path, key)
-    write_metrics(summaries.filter(key.cast("int") % 2 == 0), path, key)
+    publish_metrics(summaries, path, key)
+    publish_metrics(summaries.filter(key.cast("int") % 2 == 0), path, key)
     better = F.struct(F.col("metrics.accuracy").alias("accuracy"), (F.col("metrics.f1") + 0.125).alias("f1"))
-    write_metrics(summaries.filter(key.cast("int") % 5 == 0).withColumn("metrics", better), path, key)
+    publish_metrics(summaries.filter(key.cast("int") % 5 == 0).withColumn("metrics", better), path, key)
     found = run_ops.metric_trend(read_metrics(spark, path))
     return found.withColumns({c: F.round(c, 6) for c, kind in found.dtypes if kind == "double"})
 

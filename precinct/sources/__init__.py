@@ -13,7 +13,7 @@ from precinct.sources.readers import (
     trim_names,
 )
 from precinct.sources.star import incident_persons, incident_properties, incidents, load_tables, runs
-from precinct.sources.writers import write_csv, write_incidents_parquet, write_metrics, write_summary, write_text
+from precinct.sources.writers import publish_metrics, write_csv, write_incidents_parquet, write_metrics, write_summary, write_text
 
 __all__ = [
     "csv_headers",
@@ -23,6 +23,7 @@ __all__ = [
     "incident_properties",
     "incidents",
     "load_tables",
+    "publish_metrics",
     "read_incidents_csv",
     "read_incidents_parquet",
     "read_metrics",

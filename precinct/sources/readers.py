@@ -152,7 +152,7 @@ def read_run_summaries(
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Published run summaries with their ``run_key`` as text."""
+    """Run summaries that ``publish_metrics`` has written, with their ``run_key`` as text."""
     return spark.read.schema(T.StructType([*SUMMARY_SCHEMA.fields, T.StructField("run_key", T.StringType())])).parquet(path)
 
 

@@ -40,8 +40,13 @@ def write_incidents_parquet(
         df.write.mode("overwrite").parquet(path)
 
 
-def write_metrics(summaries: DataFrame, path: str, run_key: Column | None = None) -> None:
-    """Publish run summaries: Parquet, one folder for each run.
+def write_metrics(summaries: DataFrame, path: str) -> None:
+    """Append run summaries to the Parquet table of published metrics."""
+    summaries.write.mode("append").parquet(path)
+
+
+def publish_metrics(summaries: DataFrame, path: str, run_key: Column | None = None) -> None:
+    """Publish run summaries so that each run counts once: Parquet, one folder for each run.
 
     ``run_key`` names a run (a digest of algorithm, time stamp and model path by default). Publishing a run again puts
     it in the place of what was published before; other runs are not touched.

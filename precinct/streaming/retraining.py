@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from precinct.operators import metrics, ml, reports
 from precinct.schema import ALGORITHM_NAMES, CATEGORICAL, NUMERIC
 from precinct.session import scratch_tables
-from precinct.sources import read_run_summaries, write_metrics, write_summary
+from precinct.sources import publish_metrics, read_run_summaries, write_summary
 from precinct.streaming.ingest import KEY, Ingested, ingest, read_store, store_cells
 
 
@@ -85,5 +85,5 @@ def retrain(
             reports.run_summary(overall, counts, ALGORITHM_NAMES[algorithm], spent, source, model_path, numeric=numeric), summary_path
         )
     summary = read_run_summaries(spark, summary_path)
-    write_metrics(summary, f"{out}/metrics", F.lit(f"{algorithm}-{last}"))
+    publish_metrics(summary, f"{out}/metrics", F.lit(f"{algorithm}-{last}"))
     return Retrained(batches, model, summary)

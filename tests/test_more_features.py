@@ -14,7 +14,7 @@ from precinct.operators import counters, metrics, ml, rank, runs, split
 from precinct.operators.multihot import MultiHot
 from precinct.plans import train_and_evaluate
 from precinct.schema import CATEGORICAL, SUMMARY_SCHEMA
-from precinct.sources import incidents, read_incidents_csv, read_metrics, read_result_csv, read_run_summaries, write_metrics
+from precinct.sources import incidents, publish_metrics, read_incidents_csv, read_metrics, read_result_csv, read_run_summaries
 
 
 def put(path, text):
@@ -97,9 +97,9 @@ def summaries(spark, rows):
 def test_publishing_again_replaces_and_trends_follow(spark, tmp_path):
     path = str(tmp_path / "metrics")
     first = summaries(spark, [("lr (x)", "t1", 0.5, 0.4), ("lr (x)", "t2", 0.7, 0.6), ("rf", "t1", 0.1, 0.1)])
-    write_metrics(first, path)
-    write_metrics(first, path)
-    write_metrics(summaries(spark, [("lr (x)", "t3", 0.6, 0.5), ("lr (x)", "t4", 0.8, 0.2)]), path)
+    publish_metrics(first, path)
+    publish_metrics(first, path)
+    publish_metrics(summaries(spark, [("lr (x)", "t3", 0.6, 0.5), ("lr (x)", "t4", 0.8, 0.2)]), path)
     got = runs.metric_trend(read_metrics(spark, path), 2).orderBy("algorithm", "run").collect()
     assert [(r["algorithm"], r["run"]) for r in got] == [("lr (x)", 1), ("lr (x)", 2), ("lr (x)", 3), ("lr (x)", 4), ("rf", 1)]
     assert got[0]["f1_change"] is None and got[1]["f1_change"] == pytest.approx(0.2) and got[3]["accuracy_change"] == pytest.approx(0.2)
