@@ -12,12 +12,14 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import ordered_buckets, shuffle_partitions
+from precinct.llm.common import ordered_buckets
 from precinct.session import scratch_path
 
 SHARDS = 24
 OLD_SHARDS = 16
 BLOCKS = 1024
+# Bytes of documents that one task writes of a shard, or one range where a range has more.
+PART_BYTES = 32 << 20
 
 
 # --- The flow ---
@@ -179,13 +181,13 @@ class Resharding:
         spark = self.rows.sparkSession
         folder = folder or scratch_path(spark, "shards")
         shards = len(self.capacities)
-        files = max(1, shuffle_partitions(spark) // shards)
+        files = max(1, -(-max(self.capacities, default=0) // PART_BYTES))
         if not self.affected:
-            return self.placed()
+            return self.placed(files=files)
         self.placed(self.affected, files).write.partitionBy("shard").parquet(folder)
         written = spark.read.schema("doc_id long, text string, old_shard int, slot long, shard int").parquet(folder)
         same = [s for s in range(shards) if s not in set(self.affected)]
-        return written.unionByName(self.placed(same)) if same else written
+        return written.unionByName(self.placed(same, files)) if same else written
 
 
 def old_layout(docs: DataFrame, old_shards: int = OLD_SHARDS) -> DataFrame:
