@@ -8,18 +8,17 @@ the cross entropy; the language with the least wins.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, ragged, text_buffers
+from precinct.llm.common import chunks, held_state, ragged, text_buffers, tidy
 
 UNKNOWN = "und"
-# Bounds of what is learned: at most so many documents of a language, so many bytes of each, and so many in all.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES, REFERENCE_BYTES = 64, 512, 16384
+# Bounds of what is learned of a language, and the defaults of ``learn``: so many whole documents, of so many bytes in all.
+SAMPLE_DOCUMENTS, REFERENCE_BYTES = 64, 16384
 # A document is parsed in segments of this many symbols, all of them side by side.
 SEGMENT = 1024
 BATCH_BYTES = 1 << 20
@@ -123,39 +122,53 @@ class CrossParser:
         return out
 
 
-@lru_cache(maxsize=2)
 def _parser(references: tuple[tuple[str, bytes], ...]) -> CrossParser:
-    return CrossParser(references)
+    return held_state(("language", references), lambda: CrossParser(references))
 
 
-def learn(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
+def learn(
+    labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, reference_bytes: int = REFERENCE_BYTES
+) -> tuple[tuple[str, bytes], ...]:
     """The reference text of each language of ``labelled`` (doc_id, text, lang), which comes to the driver.
 
-    Of each language up to SAMPLE_DOCUMENTS documents, those whose ids have the smallest hashes in as many classes, give
-    up to SAMPLE_BYTES bytes from their middle; null languages and texts teach nothing. Languages with more documents
-    come first.
+    A sample of rows is learned from, its texts whole: of each language up to ``documents`` documents, those whose ids have the
+    smallest hashes in as many classes, in the order of their hashes, as far as they fit into ``reference_bytes`` bytes together.
+    A longer document is passed over. If not one fits, the shortest of them is learned alone, at any length. Null
+    languages and texts teach nothing. Languages with more documents come first.
     """
     rows = labelled.filter("lang is not null and text is not null").select(
-        "lang", "text", F.xxhash64("doc_id").alias("hash")
+        "lang", "text", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size")
     )
-    rows = rows.withColumn("class", F.pmod("hash", F.lit(SAMPLE_DOCUMENTS)))
-    found = rows.groupBy("lang", "class").agg(F.min("hash").alias("hash"), F.count("*").alias("n")).collect()
+    rows = rows.withColumn("class", F.pmod("hash", F.lit(documents)))
+    fits = F.when(F.col("size") <= reference_bytes, F.struct("hash", "size"))
+    found = rows.groupBy("lang", "class").agg(
+        F.min(fits).alias("first"), F.min(F.struct("size", "hash")).alias("least"), F.count("*").alias("n")
+    ).collect()  # bounded: ``documents`` rows without their texts for each language
     if not found:
         return ()
-    documents: dict[str, int] = {}
+    number: dict[str, int] = {}
     for r in found:
-        documents[r["lang"]] = documents.get(r["lang"], 0) + r["n"]
-    chosen = labelled.sparkSession.createDataFrame([(r["lang"], r["hash"]) for r in found], "lang string, hash long")
-    middle = F.greatest(F.lit(1), F.floor((F.length("text") - SAMPLE_BYTES) / 2)).cast("int")
-    sample = rows.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(
-        F.min(F.substring("text", middle, F.lit(SAMPLE_BYTES))).alias("part")
-    )
+        number[r["lang"]] = number.get(r["lang"], 0) + r["n"]
+    chosen: list[tuple[str, int, int]] = []
+    for lang in number:
+        own = sorted((r["first"]["hash"], r["first"]["size"]) for r in found if r["lang"] == lang and r["first"])
+        room = reference_bytes
+        for key, size in own:
+            if size <= room:
+                chosen.append((lang, key, size))
+                room -= size + 1
+        if not own:
+            size, key = min((r["least"]["size"], r["least"]["hash"]) for r in found if r["lang"] == lang)
+            chosen.append((lang, key, size))
+    picks = labelled.sparkSession.createDataFrame(chosen, "lang string, hash long, size int")
+    # Rows that share a doc_id and a length give one text.
+    sample = rows.join(F.broadcast(picks), ["lang", "hash", "size"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     parts: dict[str, list[bytes]] = {}
-    for r in sample.orderBy("lang", "hash").collect():  # bounded: SAMPLE_DOCUMENTS short parts of each language
-        data, offsets = text_buffers(pa.array([r["part"].lower()]))
+    for r in sample.orderBy("lang", "hash").collect():
+        data, offsets = text_buffers(pa.array([r["text"].lower()]))
         parts.setdefault(r["lang"], []).append(normalized(data, offsets)[0].tobytes())
-    order = sorted(parts, key=lambda lang: (-documents[lang], lang))
-    return tuple((lang, b" ".join(parts[lang])[:REFERENCE_BYTES]) for lang in order)
+    order = sorted(parts, key=lambda lang: (-number[lang], lang))
+    return tuple((lang, b" ".join(parts[lang])) for lang in order)
 
 
 def identify(docs: DataFrame, references: tuple[tuple[str, bytes], ...], *keep: Column | str) -> DataFrame:
@@ -201,7 +214,7 @@ def identify(docs: DataFrame, references: tuple[tuple[str, bytes], ...], *keep:
 
     kept = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-2])
     schema = ", ".join(x for x in (kept, "lang_pred string, score double, phrase_rate double") if x)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

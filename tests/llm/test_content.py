@@ -214,6 +214,16 @@ def test_language_of_held_out_documents(make_docs):
     assert all(out[i]["out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in out)
 
 
+def test_whole_texts_of_bounded_rows_are_learned(make_docs):
+    rows = [(i, f"{'a' * i} {'b' * i}", "xx") for i in range(1, 60)] + [(100, "c" * 500, "yy"), (101, "d" * 400, "yy"), (102, None, "xx")]
+    learned = dict(language.learn(make_docs(rows), documents=8, reference_bytes=120))
+    parts = learned["xx"].split(b" ")
+    assert len(learned["xx"]) <= 120 and 2 <= len(parts) <= 16
+    assert all(len(a) == len(b) and set(a) == {97} and set(b) == {98} for a, b in zip(parts[::2], parts[1::2]))
+    assert learned["yy"] == b"d" * 400  # nothing fits: the shortest
+    assert dict(language.learn(make_docs(rows), 1000, 10**6))["xx"].count(b"b" * 59) == 1
+
+
 def test_phrases_equal_a_greedy_parse():
     rng = random.Random(1)
     references = tuple((k, "".join(rng.choices("abc ", k=200)).encode()) for k in "pq")
@@ -281,3 +291,16 @@ def test_blocked_products_are_exact():
         near = np.argsort(-cosines)[: quality.NEIGHBOURS]
         weight = np.maximum(cosines[near], 0) ** quality.SHARPNESS
         assert score == pytest.approx((weight * labels[near]).sum() / weight.sum(), abs=1e-4)
+
+
+@pytest.mark.parametrize("scale", [1, 10**4, 10**9, 10**12])
+def test_draws_use_up_what_is_left_at_every_size(scale):
+    """One way of drawing at all sizes: shares of what is left, within what is left, exact sums."""
+    left = np.array([5 * scale, 0, 3 * scale, 2 * scale], np.int64)
+    sizes = [scale] * 9 + [scale - scale // 3, scale // 3]
+    rng = np.random.default_rng(3)
+    drawn = list(mixing._draw(rng, left, sizes))
+    assert [int(d.sum()) for d in drawn] == sizes and (sum(drawn) == left).all()
+    assert all((d >= 0).all() for d in drawn)
+    if scale >= 10**4:
+        assert np.allclose(drawn[0] / scale, [0.5, 0, 0.3, 0.2], atol=0.03)
