@@ -17,7 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from precinct.llm.common import chunks, held_state, ragged, text_buffers
+from precinct.llm.common import binary_slices, chunks, held_state, ragged, text_buffers, tidy
 from precinct.llm.pretokens import PieceTable, split_pieces
 
 _SPAN = 1 << 20
@@ -240,7 +240,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text", with_ids
             for lo, hi in chunks(offsets, BATCH_BYTES):
                 part = data[offsets[lo] : offsets[hi]]
                 ids, bounds, decoded = encode_batch(path, part, offsets[lo : hi + 1] - offsets[lo])
-                raw, back = memoryview(ids.astype("<u4").tobytes()), memoryview(decoded.tobytes())
+                packed = ids.astype("<u4")
+                raw, back = memoryview(packed).cast("B"), memoryview(decoded)
                 sizes = np.concatenate([[0], np.cumsum(_encoder(path)[0].lengths[ids])])[bounds].tolist()
                 cuts = (4 * bounds).tolist()
                 n = hi - lo
@@ -251,9 +252,9 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text", with_ids
                     pa.array([hashlib.sha256(back[sizes[i] : sizes[i + 1]]).hexdigest() for i in range(n)], pa.string()),
                 ]
                 if with_ids:
-                    columns.append(pa.array([raw[cuts[i] : cuts[i + 1]] for i in range(n)], pa.binary()))
+                    columns.append(binary_slices(packed, 4 * bounds))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
-    return docs.select(docs["doc_id"].cast("long"), docs[text]).mapInArrow(run, schema)
+    return docs.select(docs["doc_id"].cast("long"), docs[text]).mapInArrow(tidy(run), schema)

@@ -45,22 +45,51 @@ def give_back() -> None:
         _TRIM(0)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` over the batches of a partition, behind which the worker gives its free memory back.
+
+    So what a worker keeps between tasks is its state, not the most that a task has needed.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column, without a copy, and the row offsets into them; null is empty.
 
     What the batches before have left behind goes back to the system.
     """
     give_back()
-    if column.null_count:
-        column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1]
-    offsets = offsets.astype(np.int64)
+
+    def parts() -> tuple[np.ndarray, pa.Buffer | None]:
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1]
+        return offsets.astype(np.int64), data
+
+    offsets, data = parts()
+    # Arrow lets a null have bytes; only then the column is copied without them.
+    if column.null_count and np.diff(offsets)[column.is_null().to_numpy(zero_copy_only=False)].any():
+        binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+        column = pc.fill_null(column, b"" if binary else "")
+        offsets, data = parts()
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def binary_slices(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``data`` between neighbouring ``cuts`` (bytes, from 0 to the end) as a binary column, without a copy.
+
+    pyarrow never frees the memory of memoryviews that it makes a column of; nor are there Python objects for the slices.
+    """
+    offsets = pa.py_buffer(np.ascontiguousarray(cuts, np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``limit`` bytes together, at least one row each."""
     row, rows = 0, len(offsets) - 1
@@ -243,7 +272,7 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     folder, so that nothing is recomputed and lost executors do not matter.
     """
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
-    edges = edges.mapInArrow(_forest_batches, "a long, b long")
+    edges = edges.mapInArrow(tidy(_forest_batches), "a long, b long")
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = materialize(edges, name)
     while True:

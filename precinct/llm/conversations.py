@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import shuffle_partitions, sorted_groups
+from precinct.llm.common import shuffle_partitions, sorted_groups, tidy
 from precinct.session import materialize
 
 # Rows and bytes of text of a block, and blocks (or joined blocks) that one step of the tree joins.
@@ -397,7 +397,7 @@ def _first_pass(ordered: DataFrame) -> DataFrame:
             yield batch()
 
     columns = ordered.select("conv_id", "turn", "role", "digest", "copies", "kind", "text")
-    return columns.mapInArrow(run, _PIECE)
+    return columns.mapInArrow(tidy(run), _PIECE)
 
 
 _LEVEL = f"conv_id long, no long, costs array<long>, ranks array<long>, {_STATS}"
@@ -418,7 +418,7 @@ def _base(blocks: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield _level_batch([(r["conv_id"], r["no"], block_table(r["signs"]), _Stats.of(r)) for r in batch.to_pylist()])
 
-    return blocks.select("conv_id", "no", "signs", *_Stats.NAMES).mapInArrow(run, _LEVEL)
+    return blocks.select("conv_id", "no", "signs", *_Stats.NAMES).mapInArrow(tidy(run), _LEVEL)
 
 
 def _grouped(level: DataFrame) -> DataFrame:
@@ -440,7 +440,7 @@ def _level_above(level: DataFrame) -> DataFrame:
                 stats.add(_Stats.of(row))
             yield _level_batch([(rows[0]["conv_id"], rows[0]["above"], _tables(rows)[0], stats)])
 
-    return _grouped(level).mapInArrow(run, _LEVEL)
+    return _grouped(level).mapInArrow(tidy(run), _LEVEL)
 
 
 def _chosen_at_top(top: DataFrame) -> DataFrame:
@@ -461,7 +461,7 @@ def _chosen_at_top(top: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["conv_id", "no", "start", "end", "cost", "gaps", *FAULTS]
-    return top.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return top.mapInArrow(tidy(run), ", ".join(f"{n} long" for n in names))
 
 
 def _chosen_below(level: DataFrame, above: DataFrame) -> DataFrame:
@@ -478,7 +478,7 @@ def _chosen_below(level: DataFrame, above: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["conv_id", "no", "start", "end"])
 
     return rows.select("conv_id", "above", "no", "costs", "ranks", "start", "end").mapInArrow(
-        run, "conv_id long, no long, start long, end long"
+        tidy(run), "conv_id long, no long, start long, end long"
     )
 
 
@@ -520,7 +520,7 @@ def _split_pieces(blocks: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     types = [pa.int64()] * 9 + [pa.string(), pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))]
-    return found.mapInArrow(run, _PIECES)
+    return found.mapInArrow(tidy(run), _PIECES)
 
 
 _PIECES = f"conv_id long, piece long, pieces long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, turns {_TURNS}"
@@ -578,7 +578,7 @@ def digests(pieces: DataFrame) -> DataFrame:
     types = [pa.int64()] * 7 + [pa.string()] * 2
     schema = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
     long = pieces.filter("pieces > 1").withColumn("lines", lines).drop("turns")
-    long = long.repartition("conv_id").sortWithinPartitions("conv_id", "piece").mapInArrow(run, schema)
+    long = long.repartition("conv_id").sortWithinPartitions("conv_id", "piece").mapInArrow(tidy(run), schema)
     return whole.unionByName(long)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, ordered_buckets, random_words, shuffle_partitions, text_buffers
+from precinct.llm.common import chunks, ordered_buckets, random_words, shuffle_partitions, text_buffers, tidy
 
 BUCKETS = 128
 # Offsets of the second and third byte of the triplets that contain the newest byte of a window.
@@ -114,7 +114,7 @@ def fingerprints(df: DataFrame, columns: list[str], near: list[tuple[str, str]]
 
     names = [f.name for f in rest] + [f"{c}_fingerprint" for c in columns] + [f"near_{a}_{b}" for a, b in near]
     types = [f.dataType.simpleString() for f in rest] + ["string"] * len(columns) + ["double"] * len(near)
-    return df.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in zip(names, types)))
+    return df.mapInArrow(tidy(run), ", ".join(f"`{n}` {t}" for n, t in zip(names, types)))
 
 
 def with_next_text(docs: DataFrame, buckets: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import BYTE_WORDS, RollingHash, chunks, components, mix64, ragged, sorted_groups, text_buffers
+from precinct.llm.common import BYTE_WORDS, RollingHash, binary_slices, chunks, components, mix64, ragged, sorted_groups, text_buffers, tidy
 from precinct.session import materialize
 
 WIDTH = 5
@@ -142,7 +142,7 @@ def _profile(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "n_shingles", "one", "two", "bands"])
 
     schema = "doc_id long, text_key long, n_shingles long, one long, two long, bands array<long>"
-    return docs.select("doc_id", "text", text_key()).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", text_key()).mapInArrow(tidy(run), schema)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -153,12 +153,10 @@ def _sets(docs: DataFrame) -> DataFrame:
             data, offsets = text_buffers(batch.column(0))
             for lo, hi in chunks(offsets):
                 sets, bounds = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                raw, cuts = memoryview(sets.tobytes()), (8 * bounds).tolist()
-                values = pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
-                columns = [pa.array(np.diff(bounds)), *map(pa.array, _digests(sets, bounds)), values]
+                columns = [pa.array(np.diff(bounds)), *map(pa.array, _digests(sets, bounds)), binary_slices(sets, 8 * bounds)]
                 yield pa.RecordBatch.from_arrays(columns, names=["n_shingles", "one", "two", "set"])
 
-    return docs.select("text").mapInArrow(run, "n_shingles long, one long, two long, set binary")
+    return docs.select("text").mapInArrow(tidy(run), "n_shingles long, one long, two long, set binary")
 
 
 def linked(sets: list[np.ndarray], percent: int, expand: np.ndarray | None = None) -> np.ndarray:
@@ -222,7 +220,7 @@ def _bucket_links(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
     # A row that others are compared with comes after those that repeat it with a mark.
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("expand").desc_nulls_last(), "cid")
-    return rows.select(*keys, "cid", "set", "expand").mapInArrow(run, "a long, b long")
+    return rows.select(*keys, "cid", "set", "expand").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:

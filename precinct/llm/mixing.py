@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import mix64, ordered_buckets, running_sums, shuffle_partitions, text_buffers
+from precinct.llm.common import chunks, mix64, ordered_buckets, running_sums, shuffle_partitions, text_buffers, tidy
 from precinct.llm.minhash import text_key, word_places
 from precinct.session import materialize
 
@@ -74,22 +74,20 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _draw(rng: np.random.Generator, left: np.ndarray, sizes: list[int]) -> Iterator[np.ndarray]:
-    """Counts by source for parts of the given sizes: multinomial draws given that all of them use up ``left``."""
+    """Counts by source for parts of the given sizes, which together use up ``left``.
+
+    The counts of a part are a multinomial draw with the shares of what is left, one binomial for each source; a count stays
+    within what is left of its source and what the sources behind it can still fill.
+    """
     left = left.copy()
     for size in sizes:
         counts, rest, total = np.zeros_like(left), size, int(left.sum())
         for i, n in enumerate(left.tolist()):
-            # numpy's draw takes at most 10^9 of each kind; beyond that the binomial has the same shares.
-            total -= n
-            if rest <= 0 or n == 0:
-                continue
-            if total == 0:
-                counts[i] = rest
-            elif n + total < 10**9:
-                counts[i] = rng.hypergeometric(n, total, rest)
-            else:
-                counts[i] = min(max(rng.binomial(rest, n / (n + total)), rest - total), n)
+            behind = total - n
+            if rest > 0 and n > 0:
+                counts[i] = min(max(int(rng.binomial(rest, n / total)), rest - behind), n)
             rest -= int(counts[i])
+            total = behind
         left -= counts
         yield counts
 
@@ -133,7 +131,7 @@ def slots(
                     yield pd.DataFrame({"shard": int(part) * group + k, "slot": slot, "source_no": source, "block": block})
 
     return groups.repartition(max(1, min(len(rows), shuffle_partitions(spark))), "part").mapInPandas(
-        run, "shard long, slot long, source_no int, block long"
+        tidy(run), "shard long, slot long, source_no int, block long"
     )
 
 
@@ -212,21 +210,24 @@ def span_texts(rows: DataFrame, *keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            raw = memoryview(data)
-            starts, ends, bounds = word_places(data, offsets)
-            texts = []
-            for row, spans in enumerate(batch.column("spans").to_pylist()):
-                parts = []
-                for span in sorted(spans, key=lambda s: s["first_word"]):
-                    a = bounds[row] + span["first_word"]
-                    part = bytes(raw[starts[a] : ends[a + span["words"] - 1]])
-                    parts += [part] * span["times"]
-                texts.append(b"\n".join(parts).decode())
-            columns = [batch.column(c) for c in keep] + [pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
+            for lo, hi in chunks(offsets):
+                part = batch.slice(lo, hi - lo)
+                own = data[offsets[lo] : offsets[hi]]
+                raw = memoryview(own)
+                starts, ends, bounds = word_places(own, offsets[lo : hi + 1] - offsets[lo])
+                texts = []
+                for row, spans in enumerate(part.column("spans").to_pylist()):
+                    parts = []
+                    for span in sorted(spans, key=lambda s: s["first_word"]):
+                        a = bounds[row] + span["first_word"]
+                        words = bytes(raw[starts[a] : ends[a + span["words"] - 1]])
+                        parts += [words] * span["times"]
+                    texts.append(b"\n".join(parts).decode())
+                columns = [part.column(c) for c in keep] + [pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
 
     types = dict(rows.dtypes)
-    return rows.select(*keep, "text", "spans").mapInArrow(run, "".join(f"`{c}` {types[c]}, " for c in keep) + "text string")
+    return rows.select(*keep, "text", "spans").mapInArrow(tidy(run), "".join(f"`{c}` {types[c]}, " for c in keep) + "text string")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, random_words, text_buffers
+from precinct.llm.common import chunks, random_words, text_buffers, tidy
 from precinct.llm.minhash import word_hashes
 
 # Bounds of what is learned: labelled documents, and the sizes of their vectors before and after.
@@ -128,7 +128,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), values], names=["doc_id", "label", "terms"])
 
-    rows = texts.select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text").mapInArrow(run, "doc_id long, label int, terms binary")
+    rows = texts.select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text").mapInArrow(tidy(run), "doc_id long, label int, terms binary")
     found = rows.orderBy("doc_id").toArrow()  # bounded by ``sample_rows``
     values = [np.frombuffer(v.as_buffer(), np.float32) for v in found.column("terms")]
     terms = np.stack(values) if values else np.zeros((0, TERMS), np.float32)
@@ -156,4 +156,4 @@ def score(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = "".join(f"`{n}` {t}, " for n, t in rows.dtypes[:-1])
-    return rows.mapInArrow(run, kept + "score double, predicted int")
+    return rows.mapInArrow(tidy(run), kept + "score double, predicted int")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import BYTE_WORDS, CHUNK_BYTES, RollingHash, chunks, shuffle_partitions, sorted_groups, text_buffers
+from precinct.llm.common import BYTE_WORDS, CHUNK_BYTES, RollingHash, binary_slices, chunks, shuffle_partitions, sorted_groups, text_buffers, tidy
 from precinct.llm.suffix_array import suffix_array
 from precinct.session import materialize
 
@@ -241,13 +241,11 @@ def _contexts_by_bucket(rows: DataFrame, buckets: int, length: int) -> DataFrame
                 found["at"][len(found) - len(signs) :] = SIGN
                 order = np.argsort(bucket, kind="stable")
                 found, bucket = found[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket, prepend=-2)).tolist() + [len(bucket)]
-                raw, size = memoryview(found.tobytes()), _CONTEXT.itemsize
-                names = [int(bucket[a]) for a in cuts[:-1]]
-                content = [raw[a * size : b * size] for a, b in zip(cuts, cuts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(content, pa.binary())], names=["bucket", "content"])
+                cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-2)), len(bucket))
+                content = binary_slices(found.view(np.uint8), cuts * _CONTEXT.itemsize)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]], pa.int32()), content], names=["bucket", "content"])
 
-    return rows.select("doc_id", "key", "text").mapInArrow(run, "bucket int, content binary")
+    return rows.select("doc_id", "key", "text").mapInArrow(tidy(run), "bucket int, content binary")
 
 
 def _meet(packed: DataFrame, buckets: int) -> DataFrame:
@@ -280,7 +278,7 @@ def _meet(packed: DataFrame, buckets: int) -> DataFrame:
 
     # What is settled already stays where it is.
     moved = packed.withColumn("salt", F.when(F.col("bucket") < 0, F.spark_partition_id()).otherwise(F.lit(0)))
-    return moved.repartition("bucket", "salt").sortWithinPartitions("bucket").select("bucket", "content").mapInArrow(run, _SPANS)
+    return moved.repartition("bucket", "salt").sortWithinPartitions("bucket").select("bucket", "content").mapInArrow(tidy(run), _SPANS)
 
 
 def _bytes_of(rows: DataFrame, length: int) -> DataFrame:
@@ -303,7 +301,7 @@ def _bytes_of(rows: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lo", "at", "gram", "hot", "bytes"])
 
     return rows.select("doc_id", "key", "text", "wanted").mapInArrow(
-        run, "doc_id long, key long, lo int, at int, gram long, hot boolean, bytes binary"
+        tidy(run), "doc_id long, key long, lo int, at int, gram long, hot boolean, bytes binary"
     )
 
 
@@ -329,7 +327,7 @@ def _covered(pieces: DataFrame, length: int) -> DataFrame:
             yield batch()
 
     rows = pieces.repartition("gram").sortWithinPartitions("gram")
-    return rows.select("doc_id", "key", "lo", "at", "gram", "bytes").mapInArrow(run, _SPANS).select("doc_id", "key", "lo", "hi")
+    return rows.select("doc_id", "key", "lo", "at", "gram", "bytes").mapInArrow(tidy(run), _SPANS).select("doc_id", "key", "lo", "hi")
 
 
 def _covered_hot(pieces: DataFrame, length: int) -> DataFrame:
@@ -392,7 +390,7 @@ def _removed(rows: DataFrame, length: int, keep_text: bool) -> DataFrame:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text, *extra]
     types = dict(rows.dtypes)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
-    return rows.mapInArrow(run, schema + "".join(f", `{c}` {types[c]}" for c in extra))
+    return rows.mapInArrow(tidy(run), schema + "".join(f", `{c}` {types[c]}" for c in extra))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, mix64, ragged, shuffle_partitions, sorted_groups, text_buffers
+from precinct.llm.common import chunks, mix64, ragged, shuffle_partitions, sorted_groups, text_buffers, tidy
 from precinct.llm.minhash import word_hashes
 from precinct.session import materialize
 
@@ -204,7 +204,7 @@ def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
         if ids:
             yield from flush(False)
 
-    return rows.mapInArrow(run, _CHUNK)
+    return rows.mapInArrow(tidy(run), _CHUNK)
 
 
 class _Chunk:
@@ -301,9 +301,9 @@ def _summed(found: DataFrame, counted: Callable[[_Chunk], tuple[np.ndarray, np.n
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "distinct"])
 
-    packed = found.mapInArrow(part, "bucket int, keys binary, counts binary")
+    packed = found.mapInArrow(tidy(part), "bucket int, keys binary, counts binary")
     rows = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return rows.mapInArrow(total, "key long, n long, distinct long")
+    return rows.mapInArrow(tidy(total), "key long, n long, distinct long")
 
 
 def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -415,7 +415,7 @@ def _asked(found: DataFrame, tree: Tree, buckets: int) -> DataFrame:
 
     types = [pa.int32(), pa.int64(), _LISTS, _LISTS, _BYTES, _BYTES, _LISTS, _LISTS, _LISTS]
     names = [c.split(" ")[0] for c in _ASK.split(", ")]
-    return found.select("chunk", "words", "tokens", "held", "sizes", "skip").mapInArrow(run, _ASK)
+    return found.select("chunk", "words", "tokens", "held", "sizes", "skip").mapInArrow(tidy(run), _ASK)
 
 
 class _Divergences:
@@ -495,7 +495,7 @@ def _answered(asked: DataFrame, tree: Tree) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names_out)
 
     names_out = [c.split(" ")[0] for c in _ANSWER.split(", ")]
-    return asked.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, _ANSWER)
+    return asked.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(tidy(run), _ANSWER)
 
 
 def _with_kept(tree: Tree, answers: DataFrame) -> Tree:
@@ -548,7 +548,7 @@ def _scored(found: DataFrame, answers: DataFrame, tree: Tree, buckets: int) -> D
     )
     rows = found.drop("n_train").join(gathered, "chunk")
     return rows.mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        tidy(run), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, held_state, ordered_buckets, ragged, shuffle_partitions, text_buffers
+from precinct.llm.common import chunks, held_state, ordered_buckets, ragged, shuffle_partitions, text_buffers, tidy
 from precinct.llm.pretokens import PieceTable
 from precinct.session import materialize, scratch_path
 
@@ -275,7 +275,7 @@ def write_token_files(
                         yield from flush()
         yield from flush()
 
-    packed = rows.mapInArrow(run, "bucket int, number int, content binary")
+    packed = rows.mapInArrow(tidy(run), "bucket int, number int, content binary")
     # The text writer puts out the bytes of a string as they are.
     packed.sortWithinPartitions("bucket", "number").select("bucket", F.col("content").cast("string")).write.partitionBy(
         "bucket"
@@ -303,7 +303,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     # One file to a batch, as a file may have some hundred MB.
     files = spark.read.format("binaryFile").load(folder).select("bucket", "content")
-    return files.mapInArrow(run, "bucket int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(tidy(run), "bucket int, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(docs: DataFrame, path: str = VOCABULARY, end_id: int | None = END_ID, added: bool = False) -> DataFrame:

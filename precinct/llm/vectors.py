@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import components, local_forest, mix64, random_words, sorted_groups
+from precinct.llm.common import components, local_forest, mix64, random_words, sorted_groups, tidy
 from precinct.session import materialize
 
 THRESHOLD = 0.93
@@ -108,7 +108,7 @@ def _bucket_rows(classes: DataFrame, tables: int, functions: int, probes: int) -
                     )
 
     kind = dict(classes.dtypes)["embedding"]
-    return classes.select("cid", "label", "embedding").mapInArrow(run, f"bucket long, cid long, embedding {kind}")
+    return classes.select("cid", "label", "embedding").mapInArrow(tidy(run), f"bucket long, cid long, embedding {kind}")
 
 
 def _groups(near: np.ndarray) -> np.ndarray:
@@ -183,7 +183,7 @@ def _bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
             if len(member):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[root[member]]), pa.array(ids[member])], names=["a", "b"])
 
-    return rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, "a long, b long")
+    return rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(tidy(run), "a long, b long")
 
 
 def _links_across(placed: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
@@ -224,7 +224,7 @@ def _links_across(placed: DataFrame, groups: DataFrame, threshold: float) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(ids[to[member]]), pa.array(ids[member])], names=["a", "b"])
 
     keys = ["bucket", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), "a long, b long")
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -256,7 +256,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(counts.astype(np.int64))], names=["cid", "links"])
 
     keys = ["component", "i", "j"]
-    counted = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "cid long, links long")
+    counted = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), "cid long, links long")
     return counted.groupBy("cid").agg(F.sum("links").alias("links"))
 
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import sorted_groups
+from precinct.llm.common import sorted_groups, tidy
 from precinct.session import materialize
 
 SCALE, COMPONENTS = 256, 4
@@ -252,7 +252,7 @@ def _sums(fit_list: DataFrame, length: int) -> tuple[int, list[int]]:
         columns = [np.arange(length), np.full(length, n), high, low]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["entry", "n", "high", "low"])
 
-    parts = fit_list.mapInArrow(run, "entry long, n long, high long, low long")
+    parts = fit_list.mapInArrow(tidy(run), "entry long, n long, high long, low long")
     wide = [F.sum(F.col(c).cast("decimal(38,0)")).cast("string").alias(c) for c in ("n", "high", "low")]
     rows = parts.groupBy("entry").agg(*wide).orderBy("entry").collect()  # one row for each entry of a vector
     return (int(rows[0]["n"]), [(int(r["high"]) << 27) + int(r["low"]) for r in rows]) if rows else (0, [])
@@ -282,11 +282,11 @@ def _triangle_of(fit_list: DataFrame, model: Whitening) -> np.ndarray:
                     r = triangle(one.values.to_numpy().reshape(-1, length), r)
             yield packed(group.column("step")[0].as_py(), r)
 
-    parts = materialize(fit_list.mapInArrow(first, "part long, r array<double>"), "triangles")
+    parts = materialize(fit_list.mapInArrow(tidy(first), "part long, r array<double>"), "triangles")
     while parts.limit(2).count() > 1:
         step = F.floor(F.col("part") / FAN).cast("long").alias("step")
         stacked = parts.select(step, "part", "r").repartition("step").sortWithinPartitions("step", "part")
-        parts = materialize(stacked.mapInArrow(stack, "part long, r array<double>"), "triangles")
+        parts = materialize(stacked.mapInArrow(tidy(stack), "part long, r array<double>"), "triangles")
     return np.array(parts.first()["r"]).reshape(-1, length)
 
 
@@ -329,7 +329,7 @@ def identity_error(fit_list: DataFrame, model: Whitening) -> float:
         yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "product", "a", "b"])
 
     # The rows are centred already, so their means are no more than rounding.
-    parts = fit_list.mapInArrow(run, "i int, j int, product double, a double, b double")
+    parts = fit_list.mapInArrow(tidy(run), "i int, j int, product double, a double, b double")
     n = model.n
     covariance = F.sum("product") / n - (F.sum("a") / n) * (F.sum("b") / n)
     wanted = F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)
@@ -368,4 +368,4 @@ def whiten(embeddings: DataFrame, model: Whitening | None, *keep: str, vector: s
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.filter(F.size("__x") == len(model.sums)).mapInArrow(run, schema)
+    return rows.filter(F.size("__x") == len(model.sums)).mapInArrow(tidy(run), schema)

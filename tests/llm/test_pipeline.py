@@ -91,6 +91,31 @@ def test_near_duplicate_stage_equals_brute_force_from_80_percent(make_docs, spar
     assert {r["doc_id"] for r in found.collect()} == wanted
 
 
+def run_on(docs, folder, spark):
+    docs.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    return corpus_pipeline.run(spark, str(folder))
+
+
+def test_run_takes_odd_tables(make_docs, spark, tmp_path):
+    """Null ids and sources, repeated rows, one text many times, and columns whose names clash with those of the stages."""
+    odd = [(None, "nobody knows this one", "en", "a"), (5, rows()[5][1], "en", "a"), (300, "one more text for nobody", None, None)]
+    odd += [(400 + i, "over and over again the same old text", "en", "b") for i in range(30)]
+    plain = run_on(make_docs(rows() + odd), tmp_path / "plain", spark).collect()
+    extra = ["key", "hash", "score", "lang_pred", "phrase_rate", "bucket", "kept", "component_id", "size", "block", "shard", "slot"]
+    again = run_on(make_docs(rows() + odd, extra), tmp_path / "extra", spark).collect()
+    assert sorted(map(str, plain)) == sorted(map(str, again)) and len(plain) > 100
+    ids = [r["doc_id"] for r in plain]
+    assert {400} >= {i for i in ids if i and i >= 400} and not {120, 121, 122} & set(ids)
+
+
+def test_run_without_documents_or_languages(make_docs, spark, tmp_path):
+    assert run_on(make_docs([]), tmp_path / "empty", spark).count() == 0
+    texts = [(i, f"word{i} and some more of text {i * 7} here", None, "a") for i in range(10)] + [(10, "12 34", None, "a")]
+    kept = corpus_pipeline.language_stage(spark, make_docs(texts), "unused")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(10))
+    assert run_on(make_docs(texts), tmp_path / "no-lang", spark).count() > 0
+
+
 def test_queries_give_the_columns_asked_for(spark):
     from precinct.llm.queries import QUERIES
 
@@ -105,11 +130,16 @@ def test_queries_give_the_columns_asked_for(spark):
         "op8": "doc_id held_out lang_pred score",
         "op9": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op10": "doc_id start n_tokens ids_crc32",
+        "op11": "vec_id component n deviation whitened explained identity_error",
+        "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+        "op13": "doc_id held_out n_tokens n_known train_tokens base_score score",
     }
     folder = "/root/testdata/sf0.001"
     for name, query in QUERIES.items():
-        df = query(spark, folder)
-        assert df.columns == wanted[name.split("_")[0]].split()
-        table = "embeddings" if name.startswith("op7") else "documents"
-        assert df.count() == spark.read.parquet(f"{folder}/{table}.parquet").count()
-    assert len(QUERIES) == 10
+        df, op = query(spark, folder), name.split("_")[0]
+        assert df.columns == wanted[op].split()
+        table = {"op7": "embeddings", "op11": "embeddings", "op12": "conversations"}.get(op, "documents")
+        rows = spark.read.parquet(f"{folder}/{table}.parquet")
+        expected = {"op11": 4 * rows.count(), "op12": rows.select("conv_id").distinct().count() if op == "op12" else 0}
+        assert df.count() == expected.get(op, rows.count())
+    assert len(QUERIES) == 13
