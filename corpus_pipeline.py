@@ -24,9 +24,12 @@ NEAR_PERCENT = 80
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Drops documents without a letter, and longer ones that are like no learned language, in effect those in other scripts.
 
-    Text of an unlearned language in a learned script mostly stays.
+    Text of an unlearned language in a learned script mostly stays. Texts of fewer than 32 characters are only asked for a
+    letter, and so are all where no document has a language to learn from.
     """
     references = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
+    if not references:
+        return docs.filter(F.col("text").rlike(language.LETTER)).select(*COLUMNS)
     found = language.identify(docs, references, *COLUMNS)
     kept = (F.col("lang_pred") != language.UNKNOWN) & ((F.col("phrase_rate") <= MOST_PHRASES) | (F.length("text") < FEW_CHARACTERS))
     return found.filter(kept).select(*COLUMNS)
@@ -44,7 +47,11 @@ def repeated_string_stage(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Brings the sources to their target weights: documents with the words that the mix takes of them."""
+    """Brings the sources to their target weights: documents with the words that the mix takes of them.
+
+    Where the mix takes a stretch of words, the white space between them stays; stretches are joined by line feeds. A document
+    of which nothing is taken goes.
+    """
     return mixing.mixed_documents(docs)
 
 
