@@ -37,6 +37,8 @@ LEAST_SHARE = 2.0**-16
 DEPTH, WEIGHTS = 3, (1024.0, 256.0, 64.0)
 # Tokens of a chunk; bytes of text that are split into words at once.
 CHUNK_TOKENS, BLOCK_BYTES = 1 << 21, 1 << 19
+# Tokens of a chunk that are looked up at once: what is only needed for them does not grow with the chunk.
+STEP = 1 << 18
 # What stands before the first and behind the last word of a text; no word hash is special otherwise.
 BEGIN, END = np.uint64(0x9D5C0FB3A1E24C67), np.uint64(0x3B7E151628AED2A6)
 _SPACE = np.zeros(256, bool)
@@ -91,6 +93,19 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order and the place of each value in them: ``np.unique`` with half of its memory."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    distinct = ordered[new]
+    del ordered
+    inverse = np.empty(len(values), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return distinct, inverse
+
+
 # --- Small numbers: one byte each, larger ones behind ---
 
 
@@ -152,9 +167,11 @@ def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
             """A chunk. Of a text that goes on, the next chunk begins with the words before."""
             nonlocal chunk, size
             stream = np.concatenate(streams)
-            before = stream[len(stream) - min(DEPTH, sizes[-1]) :] if open_row else stream[:0]
-            words, inverse, counts = np.unique(stream, return_inverse=True, return_counts=True)
-            order = np.argsort(-counts, kind="stable")
+            streams.clear()
+            before = stream[len(stream) - min(DEPTH, sizes[-1]) :].copy() if open_row else stream[:0]
+            words, inverse = _ranked(stream)
+            del stream
+            order = np.argsort(-np.bincount(inverse, minlength=len(words)), kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             planes = rank[inverse].astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -167,7 +184,7 @@ def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
             ]
             last = ids[-1]
             chunk += 1
-            streams.clear(), ids.clear(), sizes.clear(), skip.clear()
+            ids.clear(), sizes.clear(), skip.clear()
             size = 0
             if open_row:
                 streams.append(before)
@@ -208,55 +225,59 @@ def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
 
 
 class _Chunk:
-    """A stored chunk: words, tokens as places in them, and of each token whether it counts and where its text begins."""
+    """A stored chunk: words, tokens as places in them, and of each token whether it counts and where its text begins.
+
+    What there is for each token has four bytes or less: a worker has some of these beside the chunk's Arrow batch.
+    """
 
     def __init__(self, row: dict):
         self.words = np.frombuffer(row["words"], "<u8")
         planes = np.frombuffer(row["tokens"], np.uint8).reshape(4, -1)
-        self.tokens = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-        sizes, skip = np.array(row["sizes"], np.int64), np.array(row["skip"], np.int64)
-        ends = np.cumsum(sizes)
-        self.row = np.repeat(np.arange(len(sizes)), sizes)
-        self.back = np.arange(len(self.tokens)) - np.repeat(ends - sizes, sizes)  # tokens before it in its text
-        self.scored = self.back >= np.repeat(skip, sizes)
-        self.train = self.scored & ~np.repeat(np.array(row["held"], bool), sizes)
+        self.tokens = np.ascontiguousarray(planes.T).view("<i4").ravel()
+        self.sizes = np.array(row["sizes"], np.int64)
+        starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.back = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(starts, self.sizes)  # tokens before it in its text
+        self.scored = self.back >= np.repeat(np.array(row["skip"], np.int32), self.sizes)
+        self.train = self.scored & ~np.repeat(np.array(row["held"], bool), self.sizes)
+
+    def rows(self) -> np.ndarray:
+        """The row of each token."""
+        return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
 
     def word_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the words; BEGIN is not scored but counted as a context, once for each text."""
         counts = np.bincount(self.tokens[self.train], minlength=len(self.words))
         begin = np.flatnonzero(self.words == BEGIN)
         if len(begin):
-            first = self.train & (self.back == 1) & (self.tokens[np.arange(len(self.tokens)) - 1] == begin[0])
+            first = self.train & (self.back == 1) & (np.roll(self.tokens, 1) == begin[0])
             counts[begin[0]] = np.count_nonzero(first)
         return self.words, counts
 
+    def _before(self, tree: Tree, level: int) -> np.ndarray:
+        """The place of the word ``level + 1`` tokens before each token, -1 where it is none of the tree's."""
+        frequent = _place(tree.words, self.words).astype(np.int32)[self.tokens]
+        before = np.full(len(self.tokens), -1, np.int32)
+        before[level + 1 :] = frequent[: len(frequent) - level - 1]
+        before[self.back <= level] = -1
+        return before
+
     def contexts(self, tree: Tree) -> list[np.ndarray]:
         """For each length the place of the context of each token, -1 where there is none."""
-        frequent = _place(tree.words, self.words)[self.tokens]
-        out, now = [], None
-        for level in range(tree.depth):
-            before = np.full(len(self.tokens), -1, np.int64)
-            before[level + 1 :] = frequent[: len(frequent) - level - 1]
-            before[self.back <= level] = -1
-            if now is None:
-                now = before
-            else:
-                known = np.flatnonzero((now >= 0) & (before >= 0))
-                found = np.full(len(now), -1, np.int64)
-                found[known] = _place(tree.keys[level], ((now[known] << 16) | before[known]).astype(np.uint64))
-                now = found
-            out.append(now)
+        out = [self._before(tree, 0)]
+        for level in range(1, tree.depth):
+            now, before = out[-1], self._before(tree, level)
+            found = np.full(len(now), -1, np.int32)
+            for a in range(0, len(now), STEP):
+                known = a + np.flatnonzero((now[a : a + STEP] >= 0) & (before[a : a + STEP] >= 0))
+                found[known] = _place(tree.keys[level], ((now[known].astype(np.int64) << 16) | before[known]).astype(np.uint64))
+            out.append(found)
         return out
 
     def longer(self, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the contexts that are one word longer than the tree's longest, and the training tokens behind them."""
-        level = tree.depth
-        now = self.contexts(tree)[-1]
-        frequent = _place(tree.words, self.words)[self.tokens]
-        before = np.full(len(now), -1, np.int64)
-        before[level + 1 :] = frequent[: len(frequent) - level - 1]
-        good = self.train & (now >= 0) & (before >= 0) & (self.back > level)
-        return np.unique(((now[good] << 16) | before[good]).astype(np.uint64), return_counts=True)
+        now, before = self.contexts(tree)[-1], self._before(tree, tree.depth)
+        good = self.train & (now >= 0) & (before >= 0)
+        return np.unique(((now[good].astype(np.int64) << 16) | before[good]).astype(np.uint64), return_counts=True)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -337,10 +358,11 @@ def learn_contexts(found: DataFrame, depth: int = DEPTH, share: float = LEAST_SH
 class _Pairs:
     """The distinct pairs of a chunk by length of the context, in the order in which buckets are asked for them.
 
-    ``rare`` next tokens are named by their hash, frequent ones by their place in the tree.
+    ``rare`` next tokens are named by their hash, frequent ones by their place in the tree. One length is looked at at a time.
     """
 
     def __init__(self, chunk: _Chunk, tree: Tree, buckets: int):
+        self.chunk, self.tree, self.buckets = chunk, tree, buckets
         self.contexts = chunk.contexts(tree)
         place = _place(tree.words, chunk.words)
         self.place = place
@@ -348,29 +370,50 @@ class _Pairs:
         rare = np.flatnonzero(place < 0)
         home = (mix64(chunk.words) % np.uint64(buckets)).astype(np.int64)
         self.rare = rare[np.lexsort((chunk.words[rare], home[rare]))]
-        self.rare_bucket = home[self.rare]
-        self.known = np.bincount(chunk.tokens[chunk.train], minlength=len(chunk.words))[self.rare]
-        order_of = np.full(len(chunk.words), -1, np.int64)
-        order_of[self.rare] = np.arange(len(self.rare))
-        self.levels = []
-        for level, context in enumerate(self.contexts):
-            asked = np.flatnonzero(chunk.scored & (context >= 0))
-            code, inverse = np.unique((chunk.tokens[asked] << 16) | context[asked], return_inverse=True)
-            counts = np.bincount(inverse[chunk.train[asked]], minlength=len(code))
-            word, context_place = code >> 16, code & 0xFFFF
-            often = place[word] >= 0
-            f, r = np.flatnonzero(often), np.flatnonzero(~often)
-            pair = (place[word[f]] << 16) | context_place[f]
-            met = mix64(((place[word[f]] << 32) | tree.last[level][context_place[f]]).astype(np.uint64))
-            f_bucket = (met % np.uint64(buckets)).astype(np.int64)
-            by = np.lexsort((pair, f_bucket))
-            r = r[np.lexsort((context_place[r], order_of[word[r]]))]
-            self.levels.append(
-                {
-                    "asked": asked, "inverse": inverse, "size": len(code), "frequent": f[by], "pair": pair[by], "pair_bucket": f_bucket[by],
-                    "pair_count": counts[f[by]], "rare": r, "owner": order_of[word[r]], "context": context_place[r], "rare_count": counts[r],
-                }
-            )
+        self.rare_cuts = np.searchsorted(home[self.rare], np.arange(buckets + 1))
+        self.order_of = np.full(len(chunk.words), -1, np.int64)
+        self.order_of[self.rare] = np.arange(len(self.rare))
+
+    def asked(self, level: int) -> np.ndarray:
+        """The tokens that are scored and have a context of this length."""
+        return np.flatnonzero(self.chunk.scored & (self.contexts[level] >= 0))
+
+    def codes(self, level: int, asked: np.ndarray) -> np.ndarray:
+        out = self.chunk.tokens[asked].astype(np.int64)
+        out <<= 16
+        out |= self.contexts[level][asked]
+        return out
+
+    def order(self, level: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct codes the frequent ones, their buckets, the rare ones, and the rare word that each of these is of."""
+        word, context = code >> 16, code & 0xFFFF
+        often = self.place[word] >= 0
+        f, r = np.flatnonzero(often), np.flatnonzero(~often)
+        pair = (self.place[word[f]] << 16) | context[f]
+        met = mix64(((self.place[word[f]] << 32) | self.tree.last[level][context[f]]).astype(np.uint64))
+        bucket = (met % np.uint64(self.buckets)).astype(np.int32)
+        by = np.lexsort((pair, bucket))
+        r = r[np.lexsort((context[r], self.order_of[word[r]]))]
+        return f[by], bucket[by], r, self.order_of[word[r]]
+
+    def questions(self, level: int) -> dict[str, np.ndarray]:
+        """The distinct pairs with their training counts, and where each bucket's begin."""
+        asked = self.asked(level)
+        code = self.codes(level, asked)
+        code <<= 1
+        code |= self.chunk.train[asked]
+        del asked
+        code.sort()
+        first = np.flatnonzero(np.diff(code >> 1, prepend=-1))
+        counts = np.add.reduceat(code & 1, first) if len(first) else np.zeros(0, np.int64)
+        code = code[first] >> 1
+        f, bucket, r, owner = self.order(level, code)
+        return {
+            "pair": ((self.place[code[f] >> 16] << 16) | (code[f] & 0xFFFF)).astype("<u4"), "pair_count": counts[f].astype(np.int32),
+            "pair_cuts": np.searchsorted(bucket, np.arange(self.buckets + 1)),
+            "context": (code[r] & 0xFFFF).astype("<u2"), "rare_count": counts[r].astype(np.int32),
+            "rare_cuts": np.searchsorted(owner, self.rare_cuts), "spans": np.bincount(owner, minlength=len(self.rare)),
+        }
 
 
 _ASK = (
@@ -382,31 +425,29 @@ _BYTES, _LISTS = pa.binary(), pa.list_(pa.binary())
 
 def _asked(found: DataFrame, tree: Tree, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = np.arange(buckets + 1)
         for row in _rows(batches):
             chunk = _Chunk(row)
             pairs = _Pairs(chunk, tree, buckets)
+            levels = [pairs.questions(level) for level in range(tree.depth)]
             hashes = chunk.words[pairs.rare].astype("<u8")
-            cuts = np.searchsorted(pairs.rare_bucket, every)
-            f_cuts = [np.searchsorted(x["pair_bucket"], every) for x in pairs.levels]
-            r_cuts = [np.searchsorted(x["owner"], cuts) for x in pairs.levels]
-            spans = [np.bincount(x["owner"], minlength=len(pairs.rare)) for x in pairs.levels]
+            known = np.bincount(chunk.tokens[chunk.train], minlength=len(chunk.words))[pairs.rare]
+            cuts = pairs.rare_cuts
             out: list[list] = []
             for b in range(buckets):
                 w = slice(cuts[b], cuts[b + 1])
-                fs = [slice(c[b], c[b + 1]) for c in f_cuts]
-                rs = [slice(c[b], c[b + 1]) for c in r_cuts]
+                fs = [slice(x["pair_cuts"][b], x["pair_cuts"][b + 1]) for x in levels]
+                rs = [slice(x["rare_cuts"][b], x["rare_cuts"][b + 1]) for x in levels]
                 if w.start == w.stop and all(f.start == f.stop for f in fs):
                     continue
                 out.append(
                     [
                         b, row["chunk"],
-                        [x["pair"][f].astype("<u4").tobytes() for x, f in zip(pairs.levels, fs)],
-                        [pack_small(x["pair_count"][f]) for x, f in zip(pairs.levels, fs)],
-                        hashes[w].tobytes(), pack_small(pairs.known[w]),
-                        [pack_small(s[w]) for s in spans],
-                        [x["context"][r].astype("<u2").tobytes() for x, r in zip(pairs.levels, rs)],
-                        [pack_small(x["rare_count"][r]) for x, r in zip(pairs.levels, rs)],
+                        [x["pair"][f].tobytes() for x, f in zip(levels, fs)],
+                        [pack_small(x["pair_count"][f]) for x, f in zip(levels, fs)],
+                        hashes[w].tobytes(), pack_small(known[w]),
+                        [pack_small(x["spans"][w]) for x in levels],
+                        [x["context"][r].tobytes() for x, r in zip(levels, rs)],
+                        [pack_small(x["rare_count"][r]) for x, r in zip(levels, rs)],
                     ]
                 )
             if out:
@@ -520,25 +561,28 @@ def _scored(found: DataFrame, answers: DataFrame, tree: Tree, buckets: int) -> D
             got = sorted(row["answers"], key=lambda a: a["bucket"])
             count = np.where(pairs.place >= 0, tree.word_counts[pairs.place] if len(tree.words) else 0, 0)
             count[pairs.rare] = np.concatenate([unpack_small(a["known"]) for a in got])
-            count = count[chunk.tokens]
-            chance = tree.base(count)
-            score, base = chance.copy(), chance
-            for level, x in enumerate(pairs.levels):
-                total = np.zeros(x["size"], np.int64)
-                total[x["frequent"]] = np.concatenate([unpack_small(a["pairs"][level]) for a in got])
-                total[x["rare"]] = np.concatenate([unpack_small(a["contexts"][level]) for a in got])
-                at = x["asked"]
-                context = pairs.contexts[level][at]
-                chance = chance.copy()
-                chance[at] = tree.smoothed(level, context, total[x["inverse"]].astype(float), chance[at])
-                state = at[tree.kept[level][context]]
-                score[state] = chance[state]
+            chance = tree.base(count)[chunk.tokens]
             rows = len(row["rows"])
-            own, where = chunk.scored, chunk.row[chunk.scored]
+            own, where = chunk.scored, chunk.rows()[chunk.scored]
+            known = np.bincount(where, weights=(count > 0)[chunk.tokens][own], minlength=rows).astype(np.int64)
+            base = np.bincount(where, weights=np.log10(chance[own]), minlength=rows)
+            score = chance.copy()
+            for level in range(tree.depth):
+                at = pairs.asked(level)
+                code, inverse = _ranked(pairs.codes(level, at))
+                frequent, _, rare, _ = pairs.order(level, code)
+                total = np.zeros(len(code), np.int64)
+                total[frequent] = np.concatenate([unpack_small(a["pairs"][level]) for a in got])
+                total[rare] = np.concatenate([unpack_small(a["contexts"][level]) for a in got])
+                for a in range(0, len(at), STEP):
+                    part = at[a : a + STEP]
+                    context = pairs.contexts[level][part]
+                    chance[part] = tree.smoothed(level, context, total[inverse[a : a + STEP]].astype(float), chance[part])
+                    state = part[tree.kept[level][context]]
+                    score[state] = chance[state]
             columns = [
                 pa.array(row["rows"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()),
-                pa.array(np.bincount(where, minlength=rows)), pa.array(np.bincount(where, weights=count[own] > 0, minlength=rows).astype(np.int64)),
-                pa.array(np.bincount(where, weights=np.log10(base[own]), minlength=rows)),
+                pa.array(np.bincount(where, minlength=rows)), pa.array(known), pa.array(base),
                 pa.array(np.bincount(where, weights=np.log10(score[own]), minlength=rows)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -224,3 +225,25 @@ def test_query_learns_without_the_held_out_rows(spark, folder):
         assert np.isclose(r["base_score"], sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in own), rtol=1e-9)
     new = [r for r in got.values() if r["held_out"]]
     assert sum(r["score"] for r in new) > sum(r["base_score"] for r in new)
+
+
+def test_a_chunk_keeps_few_bytes_for_each_token():
+    """Workers have little beside their batch: what is kept for each token, contexts of all lengths included, and what looking up takes."""
+    rng, n, words = np.random.default_rng(1), 1 << 20, np.sort(np.random.default_rng(2).integers(1, 1 << 62, 1000, dtype=np.uint64))
+    tokens = rng.integers(0, len(words), n).astype("<u4")
+    row = {
+        "words": words.astype("<u8").tobytes(), "tokens": tokens.view(np.uint8).reshape(-1, 4).T.tobytes(),
+        "sizes": [n // 64] * 64, "skip": [1] * 64, "held": [k % 7 == 2 for k in range(64)],
+    }
+    counts, here = np.full(1000, n // 1000), np.arange(1000)
+    pairs = np.unique(rng.integers(0, 1000, 5000) << 16 | rng.integers(0, 1000, 5000)).astype(np.uint64)
+    many = np.full(len(pairs), 10)
+    tree = suffix_tree.Tree(n, 1000, words, counts, [words, pairs], [counts, many], [here, (pairs & np.uint64(0xFFFF)).astype(int)], [])
+    tracemalloc.start()
+    try:
+        chunk = suffix_tree._Chunk(row)
+        contexts = chunk.contexts(tree)
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(contexts) == 2 and kept < 24 * n and peak < 48 * n
