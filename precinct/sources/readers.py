@@ -152,8 +152,12 @@ def read_run_summaries(
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Run summaries that ``publish_metrics`` has written, with their ``run_key`` as text."""
-    return spark.read.schema(T.StructType([*SUMMARY_SCHEMA.fields, T.StructField("run_key", T.StringType())])).parquet(path)
+    """Run summaries that ``publish_metrics`` has written, each run as it was published last, with their ``run_key`` as text."""
+    own = [T.StructField("run_key", T.StringType()), T.StructField("published", T.LongType())]
+    rows = spark.read.schema(T.StructType([*SUMMARY_SCHEMA.fields, *own])).parquet(path)
+    last = rows.groupBy(F.col("run_key").alias("last_key")).agg(F.max("published").alias("last_published"))
+    kept = rows.join(last, F.col("run_key").eqNullSafe(F.col("last_key")) & (F.col("published") == F.col("last_published")))
+    return kept.select(*SUMMARY_SCHEMA.names, "run_key")
 
 
 def trim_names(df: DataFrame) -> DataFrame:

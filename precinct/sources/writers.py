@@ -6,7 +6,10 @@ result into one file by itself, and a large result is written in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,12 +49,23 @@ def write_metrics(summaries: DataFrame, path: str) -> None:
 
 
 def publish_metrics(summaries: DataFrame, path: str, run_key: Column | None = None) -> None:
-    """Publish run summaries so that each run counts once: Parquet, one folder for each run.
+    """Publish run summaries so that each run counts once, as it was published last (``read_metrics``): Parquet.
 
-    ``run_key`` names a run (a digest of algorithm, time stamp and model path by default). Publishing a run again puts
-    it in the place of what was published before; other runs are not touched.
+    ``run_key`` names a run (a digest of algorithm, time stamp and model path by default; an empty one is null). Rows are
+    added with the ``published`` number of the call, which is above all before it, so a call writes its own runs only,
+    in as few files as they need. What ``read_metrics`` gives of a run is all of the last call that had it.
     """
     if run_key is None:
         run_key = F.sha1(F.concat_ws("|", "algorithm", "run_timestamp", "model_path"))
-    rows = summaries.withColumn("run_key", run_key.cast("string"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_key").parquet(path)
+    rows = summaries.withColumn("run_key", F.nullif(run_key.cast("string"), F.lit("")))
+    number = max(_last_published(summaries.sparkSession, path) + 1, time.time_ns())
+    rows.withColumn("published", F.lit(number).cast("bigint")).write.mode("append").parquet(path)
+
+
+def _last_published(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.schema("published bigint").parquet(path).agg(F.max("published")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise

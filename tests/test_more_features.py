@@ -107,6 +107,21 @@ def test_publishing_again_replaces_and_trends_follow(spark, tmp_path):
     assert [r["is_best"] for r in got] == [True, True, False, False, True]
 
 
+def test_publishing_many_runs_writes_few_files(spark, tmp_path):
+    """No folder or file for each run; keys that are null or repeat within a call are one run with all rows of its last call."""
+    path = tmp_path / "metrics"
+    first = summaries(spark, [("a", f"t{i % 300}", i / 1000, 0.5) for i in range(302)]).coalesce(2)
+    key = F.when(F.col("run_timestamp") != "t7", F.col("run_timestamp"))
+    publish_metrics(first, str(path), key)
+    assert len(list(path.rglob("*.parquet"))) <= 2
+    publish_metrics(first.filter("run_timestamp in ('t1', 't2', 't7')").withColumn("metrics", F.struct(F.lit(1.0).alias("accuracy"), F.lit(2.0).alias("f1"))), str(path), key)
+    got = read_metrics(spark, str(path))
+    assert got.columns == [*SUMMARY_SCHEMA.names, "run_key"] and got.count() == 302
+    found = {(r["run_key"], r["accuracy"]): r["count"] for r in got.groupBy("run_key", "metrics.accuracy").count().collect()}
+    assert found[("t1", 1.0)] == 2 and found[("t2", 1.0)] == 1 and found[(None, 1.0)] == 1 and ("t1", 0.001) not in found
+    assert found[("t0", 0.0)] == found[("t0", 0.3)] == found[("t8", 0.008)] == 1
+
+
 def test_multi_hot(spark, tmp_path):
     rows = [(1, "a", "b"), (2, "b", "a"), (3, "a", "a"), (4, "rare", "also rare"), (5, None, None), (6, "a", "="), (7, None, "b")]
     df = spark.createDataFrame(rows, "id int, x string, y string")
