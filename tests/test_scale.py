@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import assert_same
+from precinct.operators import ml
 from precinct.session import INITIAL_PARTITIONS, materialize, partitions_for, shuffle_partitions
-from precinct.sources import load_tables
+from precinct.sources import incidents, load_tables
 
 LAZY = [n for n in entry.queries() if n not in ("lr_metrics", "rf_metrics", "scored", "model_roundtrip", "feature_width")]
 
@@ -74,6 +75,15 @@ def test_line_items_are_not_expanded(spark, folder):
     assert "Expand" not in executed(entry.queries()["features_base"](spark, folder))
 
 
+def test_line_items_are_hashed_and_not_sorted(spark, folder):
+    plan = executed(incidents(spark, folder))
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_training_partitions_grow_with_the_rows():
+    assert [ml.train_partitions(n) for n in (0, 1, 8 << 17, (8 << 17) + 1, 360 * 120_000)] == [8, 8, 8, 9, 330]
+
+
 @pytest.fixture(scope="module")
 def skewed(spark, folder, tmp_path_factory):
     """The tables with a hot customer (and so a hot state), a hot order and a hot user: a third of the rows each."""
