@@ -16,7 +16,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from precinct.plans.catalog import QUERIES, TRAIN_PARTITIONS  # noqa: E402
+from precinct.operators import ml  # noqa: E402
+from precinct.plans.catalog import QUERIES  # noqa: E402
 from precinct.plans.jobs import train_and_evaluate  # noqa: E402
 from precinct.session import local_session, scratch_path  # noqa: E402
 from precinct.sources import incidents  # noqa: E402
@@ -52,7 +53,7 @@ def timed(spark, name: str, folder: str) -> float:
 def phases(spark, algorithm: str, folder: str) -> dict[str, float]:
     """Seconds of each phase of the training job, and rows a second of fitting and of scoring with evaluation."""
     raw = incidents(spark, folder)
-    summary = train_and_evaluate(spark, raw, scratch_path(spark, "bench"), algorithm, key="A_INCIDENT_ID", partitions=TRAIN_PARTITIONS)
+    summary = train_and_evaluate(spark, raw, scratch_path(spark, "bench"), algorithm, key="A_INCIDENT_ID", partitions=ml.train_partitions)
     row = summary.first()
     out = {k.removesuffix("_seconds"): round(v, 3) for k, v in row["timings_seconds"].items()}
     out["fit_rows_per_sec"] = round(row["train_rows"] / out["fit"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -14,6 +14,16 @@ from precinct.operators.multihot import MultiHot
 from precinct.schema import CATEGORICAL, NUMERIC
 from precinct.session import spread_evenly
 
+# Training rows of a partition: a forest of 50 trees keeps some 1.4 KB for each and reads that again for every group of nodes.
+PARTITION_ROWS = 1 << 17
+# Partitions for few training rows.
+LEAST_PARTITIONS = 8
+
+
+def train_partitions(rows: int) -> int:
+    """Partitions for so many training rows: they grow in number and not in size, and depend on the data alone."""
+    return max(LEAST_PARTITIONS, -(-rows // PARTITION_ROWS))
+
 
 def category_indexer(columns: Sequence[str] = CATEGORICAL) -> StringIndexer:
     """One indexer for all categorical columns, so that one pass fits them all; unseen and null get an index."""
@@ -147,20 +157,29 @@ def input_columns(pipeline: Pipeline | PipelineModel) -> list[str]:
 
 
 def fit(
-    pipeline: Pipeline, train: DataFrame, partitions: int | None = None, keys: Sequence[str] = ("A_INCIDENT_ID",)
+    pipeline: Pipeline,
+    train: DataFrame,
+    partitions: int | Callable[[int], int] | None = None,
+    keys: Sequence[str] = ("A_INCIDENT_ID",),
 ) -> PipelineModel:
     """Fit on the columns the pipeline needs.
 
     With ``partitions`` the rows are first brought into that many partitions by ``keys``, so that the model does
-    not depend on how they are stored. Nothing is persisted here: the indexers take one narrow pass each, and
-    the estimators keep their own blocks. A ``train`` that is costly to compute should be a table
-    (``session.materialize``).
+    not depend on how they are stored; a function (``train_partitions``) gives the number for the count of the rows. Only
+    the last estimator sees these partitions: the stages before it count values, which take one narrow pass each over the
+    rows as they are stored. Nothing is persisted here, and the estimators keep their own blocks. A ``train`` that is
+    costly to compute should be a table (``session.materialize``).
     """
     needed = input_columns(pipeline)
     if partitions is None:
         return pipeline.fit(train.select(*needed))
+    if callable(partitions):
+        partitions = partitions(train.count())
     rows = train.select(*dict.fromkeys([*needed, *keys]))
-    return pipeline.fit(spread_evenly(rows, partitions, *keys))
+    *before, last = pipeline.getStages()
+    prepared = Pipeline(stages=before).fit(train.select(*needed))
+    fitted = Pipeline(stages=[last]).fit(prepared.transform(spread_evenly(rows, partitions, *keys)))
+    return PipelineModel(stages=[*prepared.stages, *fitted.stages])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

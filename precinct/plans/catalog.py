@@ -405,8 +405,6 @@ def evaluation(spark, folder):
 
 # --- Models ---
 
-# Partitions of the training rows: a model of the catalog depends on the data alone.
-TRAIN_PARTITIONS = 8
 # Property values in a smaller share of the training rows are rare.
 PROPERTY_SHARE = 0.007
 
@@ -418,7 +416,7 @@ def _split_features(spark, folder):
 
 
 def _fitted(train, algorithm, **params):
-    return ml.fit(ml.build_pipeline(algorithm, **params), train, TRAIN_PARTITIONS)
+    return ml.fit(ml.build_pipeline(algorithm, **params), train, ml.train_partitions)
 
 
 def _model_metrics(spark, folder, algorithm):
@@ -613,7 +611,7 @@ def _with_customer(spark, folder):
 def training_job(spark, folder):
     """The training job with its default model: counts of the summary and of every table that it wrote, read back."""
     out = scratch_path(spark, "job")
-    jobs.train_and_evaluate(spark, incidents(spark, folder), out, "lr", "orders", key=ID, partitions=TRAIN_PARTITIONS)
+    jobs.train_and_evaluate(spark, incidents(spark, folder), out, "lr", "orders", key=ID, partitions=ml.train_partitions)
     summary = read_run_summaries(spark, f"{out}/summary_lr")
     counts = ("records_total", "records_processed", "train_rows", "test_rows")
     parts = [summary.select(F.inline(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).alias("value")) for c in counts])))]
@@ -637,7 +635,7 @@ def model_comparison(spark, folder):
     out = scratch_path(spark, "jobs")
     raw = materialize(incidents(spark, folder), "incidents")
     for algorithm in ALGORITHM_NAMES:
-        jobs.train_and_evaluate(spark, raw, out, algorithm, "orders", key=ID, partitions=TRAIN_PARTITIONS)
+        jobs.train_and_evaluate(spark, raw, out, algorithm, "orders", key=ID, partitions=ml.train_partitions)
     models, classes = jobs.comparison(spark, out)
     classes = classes.groupBy("algorithm").agg(F.count("*").alias("classes"), F.sum("support").cast("bigint").alias("support"))
     names = F.create_map(*[x for k, v in ALGORITHM_NAMES.items() for x in (F.lit(k), F.lit(v))])
@@ -676,7 +674,7 @@ def incremental_retraining(spark, folder):
     for run, delivery in enumerate((first, second, None), 1):
         if delivery is not None:
             write_csv(delivery, f"{source}/delivery{run}")
-        found = retrain(spark, source, out, "lr", partitions=TRAIN_PARTITIONS)
+        found = retrain(spark, source, out, "lr", partitions=ml.train_partitions)
         store = read_store(spark, f"{out}/store").agg(F.count("*"), F.sum("TOTAL_DELITOS")).first()
         summary = found.summary.first() if found.summary else None
         rows.append(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,7 +43,7 @@ def train_and_evaluate(
     random: bool = False,
     seed: int = 42,
     key: str = "A_INCIDENT_ID",
-    partitions: int | None = None,
+    partitions: int | Callable[[int], int] | None = None,
     shuffles: int | None = None,
     weighted: bool = False,
     **params,
@@ -52,7 +53,7 @@ def train_and_evaluate(
     The raw rows are read once: the derived columns go to a table in the shared scratch folder, counted on
     the way, and all later passes read the columns they need from there. The test rows are scored once; every
     metric comes from their confusion table. ``partitions`` is how many the training rows are brought into (as
-    they are stored if None), ``shuffles`` the initial shuffle partitions of the job (the session's if None);
+    they are stored if None), or a function from their count to it (``ml.train_partitions``), ``shuffles`` the initial shuffle partitions of the job (the session's if None);
     ``session.partitions_for`` gives a number for an input size. ``weighted`` balances the labels: each training row
     weighs rows / (labels * rows of its label), and the metrics weigh the test rows alike; the tables of plain counts
     are written as well. ``numeric`` among ``params`` may name further columns of the raw rows.
@@ -106,6 +107,9 @@ def train_and_evaluate(
             train_rows, test_rows = ml.add_weights(train_rows, weights), ml.add_weights(test_rows, weights)
             params["weightCol"] = "weight"
 
+        if callable(partitions):
+            partitions = partitions(sizes["train_rows"])
+
         with phase("fit_seconds"):
             model = ml.fit(ml.build_pipeline(algorithm, **params), train_rows, partitions, (key,))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -33,7 +33,7 @@ def retrain(
     algorithm: str = "lr",
     numeric: Sequence[str] = NUMERIC,
     train: float = 0.8,
-    partitions: int | None = None,
+    partitions: int | Callable[[int], int] | None = None,
     file_filter: str = "*.csv",
     most_files: int | None = None,
     **params,
