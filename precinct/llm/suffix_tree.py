@@ -23,11 +23,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import chunks, mix64, ragged, shuffle_partitions, sorted_groups, text_buffers, tidy
+from precinct.llm.common import chunks, give_back, mix64, ragged, shuffle_partitions, sorted_groups, text_buffers, tidy
 from precinct.llm.minhash import word_hashes
 from precinct.session import materialize
 
@@ -106,6 +107,11 @@ def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, inverse
 
 
+def _bytes_of(n: int) -> int:
+    """Bytes, one at least, that every number below ``n`` fits into."""
+    return max(1, -(-max(n - 1, 0).bit_length() // 8))
+
+
 # --- Small numbers: one byte each, larger ones behind ---
 
 
@@ -124,6 +130,8 @@ def unpack_small(raw: bytes) -> np.ndarray:
 
 # --- Chunks of tokens ---
 
+# A chunk is some MB in one row: each is written, compressed and read as a row group of its own, or several would be held at once.
+_ONE_BY_ONE = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 _CHUNK = (
     "chunk long, n_train long, words binary, tokens binary, rows array<long>, doc_ids array<long>, held array<boolean>,"
     " sizes array<long>, skip array<long>"
@@ -152,7 +160,10 @@ def _blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, i
 
 
 def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Tokens of all rows of ``docs`` (doc_id, text) as places in the chunk's list of distinct words."""
+    """Tokens of all rows of ``docs`` (doc_id, text) as places in the chunk's list of distinct words.
+
+    The lowest bytes of all places come first; no more bytes are stored for each than the largest needs.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +185,7 @@ def token_chunks(docs: DataFrame, held_out: Column) -> DataFrame:
             order = np.argsort(-np.bincount(inverse, minlength=len(words)), kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            planes = rank[inverse].astype("<u4").view(np.uint8).reshape(-1, 4).T
+            planes = rank[inverse].astype("<u4").view(np.uint8).reshape(-1, 4).T[: _bytes_of(len(words))]
             train = sum(s - k for (_, _, held), s, k in zip(ids, sizes, skip) if not held)
             columns = [
                 pa.array([part + chunk]), pa.array([train]), pa.array([words[order].astype("<u8").tobytes()], pa.binary()),
@@ -232,9 +243,10 @@ class _Chunk:
 
     def __init__(self, row: dict):
         self.words = np.frombuffer(row["words"], "<u8")
-        planes = np.frombuffer(row["tokens"], np.uint8).reshape(4, -1)
-        self.tokens = np.ascontiguousarray(planes.T).view("<i4").ravel()
         self.sizes = np.array(row["sizes"], np.int64)
+        planes = np.frombuffer(row["tokens"], np.uint8).reshape(-1, int(self.sizes.sum()))
+        self.tokens = np.zeros(planes.shape[1], "<i4")
+        self.tokens.view(np.uint8).reshape(-1, 4)[:, : len(planes)] = planes.T
         starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
         self.back = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(starts, self.sizes)  # tokens before it in its text
         self.scored = self.back >= np.repeat(np.array(row["skip"], np.int32), self.sizes)
@@ -244,6 +256,14 @@ class _Chunk:
         """The row of each token."""
         return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
 
+    def by_text(self, value: Callable[[np.ndarray], np.ndarray | float]) -> np.ndarray:
+        """The sum of ``value`` over the scored tokens of each text, added up in their order; some tokens are asked for at once."""
+        out, rows = np.zeros(len(self.sizes)), self.rows()
+        for a in range(0, len(rows), STEP):
+            at = a + np.flatnonzero(self.scored[a : a + STEP])
+            np.add.at(out, rows[at], value(at))
+        return out
+
     def word_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the words; BEGIN is not scored but counted as a context, once for each text."""
         counts = np.bincount(self.tokens[self.train], minlength=len(self.words))
@@ -281,9 +301,11 @@ class _Chunk:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Each row; what is binary stays where it is in the batch."""
     for batch in batches:
         for k in range(batch.num_rows):
-            yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+            values = {name: batch.column(name)[k] for name in batch.schema.names}
+            yield {name: v.as_buffer() if isinstance(v, pa.BinaryScalar) else v.as_py() for name, v in values.items()}
 
 
 # --- Frequent words and contexts ---
@@ -327,12 +349,13 @@ def _summed(found: DataFrame, counted: Callable[[_Chunk], tuple[np.ndarray, np.n
     return rows.mapInArrow(tidy(total), "key long, n long, distinct long")
 
 
-def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in order with their numbers: no more than one for each LEAST_SHARE of the corpus."""
-    found = [(r["key"], r["n"]) for r in rows.select("key", "n").filter("key is not null").collect()]
-    keys = np.array([k for k, _ in found], np.int64).astype(np.uint64)
+def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys in order with their numbers: no more than one for each LEAST_SHARE of the corpus; and how many keys there are in all."""
+    found = rows.collect()
+    keys = np.array([r["key"] for r in found if r["key"] is not None], np.int64).astype(np.uint64)
+    counts = np.array([r["n"] for r in found if r["key"] is not None], np.int64)
     order = np.argsort(keys)
-    return keys[order], np.array([n for _, n in found], np.int64)[order]
+    return keys[order], counts[order], sum(r["distinct"] for r in found if r["distinct"] is not None)
 
 
 def learn_contexts(found: DataFrame, depth: int = DEPTH, share: float = LEAST_SHARE) -> Tree:
@@ -340,13 +363,11 @@ def learn_contexts(found: DataFrame, depth: int = DEPTH, share: float = LEAST_SH
     buckets = 4 * shuffle_partitions(found.sparkSession)
     tokens = int(found.agg(F.sum("n_train")).first()[0] or 0)
     least = max(1.0, share * tokens)
-    counted = materialize(_summed(found, _Chunk.word_counts, least, buckets), "word-counts")
-    distinct = int(counted.agg(F.sum("distinct")).first()[0] or 0)
-    words, counts = _collected(counted)
+    words, counts, distinct = _collected(_summed(found, _Chunk.word_counts, least, buckets))
     here = np.arange(len(words))
     tree = Tree(tokens, distinct, words, counts, [words], [counts], [here], [])
     for _ in range(1, depth):
-        keys, counts = _collected(_summed(found, lambda chunk, tree=tree: chunk.longer(tree), least, buckets))
+        keys, counts, _ = _collected(_summed(found, lambda chunk, tree=tree: chunk.longer(tree), least, buckets))
         last = tree.last[-1][(keys >> np.uint64(16)).astype(np.int64)]
         tree = tree._replace(keys=[*tree.keys, keys], counts=[*tree.counts, counts], last=[*tree.last, last])
     return tree
@@ -376,7 +397,7 @@ class _Pairs:
 
     def asked(self, level: int) -> np.ndarray:
         """The tokens that are scored and have a context of this length."""
-        return np.flatnonzero(self.chunk.scored & (self.contexts[level] >= 0))
+        return np.flatnonzero(self.chunk.scored & (self.contexts[level] >= 0)).astype(np.int32)
 
     def codes(self, level: int, asked: np.ndarray) -> np.ndarray:
         out = self.chunk.tokens[asked].astype(np.int64)
@@ -550,50 +571,55 @@ def _with_kept(tree: Tree, answers: DataFrame) -> Tree:
     return tree._replace(kept=kept)
 
 
+_SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def score_chunk(row: dict, got: list[dict], tree: Tree, buckets: int) -> pa.Table:
+    """The ``_SCORES`` of each part of a text in a chunk; ``got`` are the answers to it in the order of their buckets."""
+    chunk = _Chunk(row)
+    pairs = _Pairs(chunk, tree, buckets)
+    count = np.where(pairs.place >= 0, tree.word_counts[pairs.place] if len(tree.words) else 0, 0)
+    count[pairs.rare] = np.concatenate([unpack_small(a["known"]) for a in got])
+    chance = tree.base(count)[chunk.tokens]
+    tokens, known = chunk.by_text(lambda at: 1.0), chunk.by_text(lambda at: (count > 0)[chunk.tokens[at]])
+    base = chunk.by_text(lambda at: np.log10(chance[at]))
+    score = chance.copy()
+    for level in range(tree.depth):
+        at = pairs.asked(level)
+        code, inverse = _ranked(pairs.codes(level, at))
+        frequent, _, rare, _ = pairs.order(level, code)
+        total = np.zeros(len(code), np.int64)
+        total[frequent] = np.concatenate([unpack_small(a["pairs"][level]) for a in got])
+        total[rare] = np.concatenate([unpack_small(a["contexts"][level]) for a in got])
+        for a in range(0, len(at), STEP):
+            part = at[a : a + STEP]
+            context = pairs.contexts[level][part]
+            chance[part] = tree.smoothed(level, context, total[inverse[a : a + STEP]].astype(float), chance[part])
+            state = part[tree.kept[level][context]]
+            score[state] = chance[state]
+        del at, code, inverse, frequent, rare, total
+    del chance, pairs
+    columns = [
+        pa.array(row["rows"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()),
+        pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base),
+        pa.array(chunk.by_text(lambda at: np.log10(score[at]))),
+    ]
+    return pa.table(columns, names=[c.split(" ")[0] for c in _SCORES.split(", ")])
+
+
 def _scored(found: DataFrame, answers: DataFrame, tree: Tree, buckets: int) -> DataFrame:
-    """(row, doc_id, held_out, n_tokens, n_known, base_score, score) of each part of a text in a chunk."""
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    """``_SCORES`` of each part of a text in a chunk.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = _Chunk(row)
-            pairs = _Pairs(chunk, tree, buckets)
-            got = sorted(row["answers"], key=lambda a: a["bucket"])
-            count = np.where(pairs.place >= 0, tree.word_counts[pairs.place] if len(tree.words) else 0, 0)
-            count[pairs.rare] = np.concatenate([unpack_small(a["known"]) for a in got])
-            chance = tree.base(count)[chunk.tokens]
-            rows = len(row["rows"])
-            own, where = chunk.scored, chunk.rows()[chunk.scored]
-            known = np.bincount(where, weights=(count > 0)[chunk.tokens][own], minlength=rows).astype(np.int64)
-            base = np.bincount(where, weights=np.log10(chance[own]), minlength=rows)
-            score = chance.copy()
-            for level in range(tree.depth):
-                at = pairs.asked(level)
-                code, inverse = _ranked(pairs.codes(level, at))
-                frequent, _, rare, _ = pairs.order(level, code)
-                total = np.zeros(len(code), np.int64)
-                total[frequent] = np.concatenate([unpack_small(a["pairs"][level]) for a in got])
-                total[rare] = np.concatenate([unpack_small(a["contexts"][level]) for a in got])
-                for a in range(0, len(at), STEP):
-                    part = at[a : a + STEP]
-                    context = pairs.contexts[level][part]
-                    chance[part] = tree.smoothed(level, context, total[inverse[a : a + STEP]].astype(float), chance[part])
-                    state = part[tree.kept[level][context]]
-                    score[state] = chance[state]
-            columns = [
-                pa.array(row["rows"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()),
-                pa.array(np.bincount(where, minlength=rows)), pa.array(known), pa.array(base),
-                pa.array(np.bincount(where, weights=np.log10(score[own]), minlength=rows)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    A chunk meets its answers as a group of its own, so a worker has one chunk at a time and no row holds both.
+    """
+
+    def run(chunk: pa.Table, got: pa.Table) -> pa.Table:
+        give_back()  # what the chunk before has left
+        own = got.select(["pairs", "known", "contexts"]).take(pc.sort_indices(got.column("bucket")))
+        return pa.concat_tables([score_chunk(row, own.to_pylist(), tree, buckets) for row in _rows(chunk.to_batches())])
 
-    gathered = answers.filter("chunk is not null").groupBy("chunk").agg(
-        F.collect_list(F.struct("bucket", "pairs", "known", "contexts")).alias("answers")
-    )
-    rows = found.drop("n_train").join(gathered, "chunk")
-    return rows.mapInArrow(
-        tidy(run), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+    replies = answers.filter("chunk is not null").select("chunk", "bucket", "pairs", "known", "contexts")
+    return found.drop("n_train").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, _SCORES)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -612,7 +638,7 @@ def score_documents(docs: DataFrame, held: Column, depth: int = DEPTH, share: fl
     """
     spark = docs.sparkSession
     buckets = 4 * shuffle_partitions(spark)
-    found = materialize(token_chunks(docs, held), "token-chunks")
+    found = materialize(token_chunks(docs, held), "token-chunks", **_ONE_BY_ONE)
     tree = learn_contexts(found, depth, share)
     answers = materialize(_answered(_asked(found, tree, buckets), tree), "pair-counts")
     parts = _scored(found, answers, _with_kept(tree, answers), buckets)

@@ -111,12 +111,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
-def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def materialize(df: DataFrame, name: str = "table", path: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder, with the writer's ``options``, and read it back.
 
     Cuts the lineage, survives the loss of executors and gives later passes a columnar, prunable scan.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

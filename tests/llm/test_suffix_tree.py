@@ -6,8 +6,10 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +249,65 @@ def test_a_chunk_keeps_few_bytes_for_each_token():
     finally:
         tracemalloc.stop()
     assert len(contexts) == 2 and kept < 24 * n and peak < 48 * n
+
+
+def test_no_more_bytes_are_stored_for_a_token_than_the_words_need(spark):
+    for words, wide in ((3, 1), (255, 2), (70_000, 3)):  # BEGIN and END are words, too
+        rows = [(1, " ".join(f"w{i}" for i in range(words)), False), (2, "w0", False)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, flag boolean").coalesce(1)
+        (row,) = suffix_tree.token_chunks(df, F.col("flag")).collect()
+        assert len(row["tokens"]) == wide * sum(row["sizes"]) and len(row["words"]) == 8 * (words + 2)
+        chunk = suffix_tree._Chunk(row.asDict())
+        assert np.bincount(chunk.tokens).tolist() == [2] * 3 + [1] * (words - 1)
+
+
+def test_chunks_are_held_one_at_a_time(spark, monkeypatch, tmp_path):
+    """A stored chunk is a row group of its own, and scoring gets it as a group beside its answers, not in rows that hold both."""
+    paths, store = {}, suffix_tree.materialize
+
+    def kept(df, name, **options):
+        paths[name] = str(tmp_path / name)
+        return store(df, path=paths[name], **options)
+
+    monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", 50)
+    monkeypatch.setattr(suffix_tree, "materialize", kept)
+    rows = corpus(5, 40)
+    df = spark.createDataFrame(rows, "doc_id long, text string, flag boolean").repartition(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")  # each batch is a block at least
+    try:
+        got = suffix_tree.score_documents(df, F.col("flag"), 3, 0.002)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    files = [pq.ParquetFile(p).metadata for p in Path(paths["token-chunks"]).glob("*.parquet")]
+    groups = [m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)]
+    assert len(groups) > 8 and set(groups) == {1}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroupsInArrow" in plan and "collect_list" not in plan
+    assert_equal(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["held_out"], *list(r)[2:]) for r in got.collect()), wanted(rows)[0])
+
+
+def test_scoring_a_chunk_takes_few_bytes_for_each_token():
+    rng, n, texts = np.random.default_rng(3), 1 << 20, 64
+    words = np.sort(np.random.default_rng(4).integers(1, 1 << 62, 1000, dtype=np.uint64))
+    tokens = rng.integers(0, len(words), n).astype("<u4")
+    row = {
+        "words": words.astype("<u8").tobytes(), "tokens": tokens.view(np.uint8).reshape(-1, 4).T[:2].tobytes(),
+        "sizes": [n // texts] * texts, "skip": [1] * texts, "held": [k % 7 == 2 for k in range(texts)],
+        "rows": list(range(texts)), "doc_ids": list(range(texts)),
+    }
+    often, here = words[::2], np.arange(500)
+    counts = np.bincount(tokens, minlength=1000)[::2]
+    tree = suffix_tree.Tree(n, 1000, often, counts, [often], [counts], [here], [here % 2 == 0])
+    pairs = suffix_tree._Pairs(suffix_tree._Chunk(row), tree, 1)
+    asked = pairs.questions(0)
+    known = np.bincount(tokens, minlength=1000)[pairs.rare]
+    got = [{"known": suffix_tree.pack_small(known), "pairs": [suffix_tree.pack_small(asked["pair_count"])], "contexts": [suffix_tree.pack_small(asked["rare_count"])]}]
+    del pairs, asked
+    tracemalloc.start()
+    try:
+        out = suffix_tree.score_chunk(row, got, tree, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out.num_rows == texts and out.column("n_tokens").to_pylist() == [n // texts - 1] * texts and peak < 80 * n
