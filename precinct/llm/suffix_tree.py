@@ -112,6 +112,30 @@ def _bytes_of(n: int) -> int:
     return max(1, -(-max(n - 1, 0).bit_length() // 8))
 
 
+def _ranked_codes(code: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_ranked`` of numbers up to ``largest``, which are overwritten: number and place are sorted as one word where both fit."""
+    bits = len(code).bit_length()
+    if largest.bit_length() + bits > 63:
+        return _ranked(code)
+    for a in range(0, len(code), STEP):
+        part = code[a : a + STEP]
+        part <<= bits
+        part |= np.arange(a, a + len(part))
+    code.sort()
+    order = np.empty(len(code), np.int32)
+    for a in range(0, len(code), STEP):
+        order[a : a + STEP] = code[a : a + STEP] & ((1 << bits) - 1)
+    code >>= bits
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] != code[:-1]
+    distinct = code[new]
+    del code
+    places, inverse = np.cumsum(new, dtype=np.int32), np.empty(len(new), np.int32)
+    places -= 1
+    inverse[order] = places
+    return distinct, inverse
+
+
 # --- Small numbers: one byte each, larger ones behind ---
 
 
@@ -281,21 +305,29 @@ class _Chunk:
         before[self.back <= level] = -1
         return before
 
-    def contexts(self, tree: Tree) -> list[np.ndarray]:
-        """For each length the place of the context of each token, -1 where there is none."""
-        out = [self._before(tree, 0)]
+    def levels(self, tree: Tree) -> Iterator[np.ndarray]:
+        """For one length after the other the place of the context of each token, -1 where there is none."""
+        now = self._before(tree, 0)
+        yield now
         for level in range(1, tree.depth):
-            now, before = out[-1], self._before(tree, level)
+            before = self._before(tree, level)
             found = np.full(len(now), -1, np.int32)
             for a in range(0, len(now), STEP):
                 known = a + np.flatnonzero((now[a : a + STEP] >= 0) & (before[a : a + STEP] >= 0))
                 found[known] = _place(tree.keys[level], ((now[known].astype(np.int64) << 16) | before[known]).astype(np.uint64))
-            out.append(found)
-        return out
+            now = found
+            del before, found
+            yield now
+
+    def contexts(self, tree: Tree) -> list[np.ndarray]:
+        """The contexts of all lengths at once."""
+        return list(self.levels(tree))
 
     def longer(self, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the contexts that are one word longer than the tree's longest, and the training tokens behind them."""
-        now, before = self.contexts(tree)[-1], self._before(tree, tree.depth)
+        for now in self.levels(tree):
+            pass
+        before = self._before(tree, tree.depth)
         good = self.train & (now >= 0) & (before >= 0)
         return np.unique(((now[good].astype(np.int64) << 16) | before[good]).astype(np.uint64), return_counts=True)
 
@@ -379,12 +411,12 @@ def learn_contexts(found: DataFrame, depth: int = DEPTH, share: float = LEAST_SH
 class _Pairs:
     """The distinct pairs of a chunk by length of the context, in the order in which buckets are asked for them.
 
-    ``rare`` next tokens are named by their hash, frequent ones by their place in the tree. One length is looked at at a time.
+    ``rare`` next tokens are named by their hash, frequent ones by their place in the tree. One length is looked at at a time,
+    with the contexts that the chunk gives for it.
     """
 
     def __init__(self, chunk: _Chunk, tree: Tree, buckets: int):
         self.chunk, self.tree, self.buckets = chunk, tree, buckets
-        self.contexts = chunk.contexts(tree)
         place = _place(tree.words, chunk.words)
         self.place = place
         # Rare words come in the order of their buckets.
@@ -395,14 +427,14 @@ class _Pairs:
         self.order_of = np.full(len(chunk.words), -1, np.int64)
         self.order_of[self.rare] = np.arange(len(self.rare))
 
-    def asked(self, level: int) -> np.ndarray:
+    def asked(self, contexts: np.ndarray) -> np.ndarray:
         """The tokens that are scored and have a context of this length."""
-        return np.flatnonzero(self.chunk.scored & (self.contexts[level] >= 0)).astype(np.int32)
+        return np.flatnonzero(self.chunk.scored & (contexts >= 0)).astype(np.int32)
 
-    def codes(self, level: int, asked: np.ndarray) -> np.ndarray:
+    def codes(self, contexts: np.ndarray, asked: np.ndarray) -> np.ndarray:
         out = self.chunk.tokens[asked].astype(np.int64)
         out <<= 16
-        out |= self.contexts[level][asked]
+        out |= contexts[asked]
         return out
 
     def order(self, level: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -417,15 +449,18 @@ class _Pairs:
         r = r[np.lexsort((context[r], self.order_of[word[r]]))]
         return f[by], bucket[by], r, self.order_of[word[r]]
 
-    def questions(self, level: int) -> dict[str, np.ndarray]:
+    def questions(self, level: int, contexts: np.ndarray) -> dict[str, np.ndarray]:
         """The distinct pairs with their training counts, and where each bucket's begin."""
-        asked = self.asked(level)
-        code = self.codes(level, asked)
+        asked = self.asked(contexts)
+        code = self.codes(contexts, asked)
         code <<= 1
         code |= self.chunk.train[asked]
         del asked
         code.sort()
-        first = np.flatnonzero(np.diff(code >> 1, prepend=-1))
+        new = np.ones(len(code), bool)
+        np.greater(code[1:] ^ code[:-1], 1, out=new[1:])  # equal but for the lowest bit: the same pair
+        first = np.flatnonzero(new)
+        del new
         counts = np.add.reduceat(code & 1, first) if len(first) else np.zeros(0, np.int64)
         code = code[first] >> 1
         f, bucket, r, owner = self.order(level, code)
@@ -449,7 +484,7 @@ def _asked(found: DataFrame, tree: Tree, buckets: int) -> DataFrame:
         for row in _rows(batches):
             chunk = _Chunk(row)
             pairs = _Pairs(chunk, tree, buckets)
-            levels = [pairs.questions(level) for level in range(tree.depth)]
+            levels = [pairs.questions(level, contexts) for level, contexts in enumerate(chunk.levels(tree))]
             hashes = chunk.words[pairs.rare].astype("<u8")
             known = np.bincount(chunk.tokens[chunk.train], minlength=len(chunk.words))[pairs.rare]
             cuts = pairs.rare_cuts
@@ -584,16 +619,16 @@ def score_chunk(row: dict, got: list[dict], tree: Tree, buckets: int) -> pa.Tabl
     tokens, known = chunk.by_text(lambda at: 1.0), chunk.by_text(lambda at: (count > 0)[chunk.tokens[at]])
     base = chunk.by_text(lambda at: np.log10(chance[at]))
     score = chance.copy()
-    for level in range(tree.depth):
-        at = pairs.asked(level)
-        code, inverse = _ranked(pairs.codes(level, at))
+    for level, contexts in enumerate(chunk.levels(tree)):
+        at = pairs.asked(contexts)
+        code, inverse = _ranked_codes(pairs.codes(contexts, at), len(chunk.words) << 16)
         frequent, _, rare, _ = pairs.order(level, code)
         total = np.zeros(len(code), np.int64)
         total[frequent] = np.concatenate([unpack_small(a["pairs"][level]) for a in got])
         total[rare] = np.concatenate([unpack_small(a["contexts"][level]) for a in got])
         for a in range(0, len(at), STEP):
             part = at[a : a + STEP]
-            context = pairs.contexts[level][part]
+            context = contexts[part]
             chance[part] = tree.smoothed(level, context, total[inverse[a : a + STEP]].astype(float), chance[part])
             state = part[tree.kept[level][context]]
             score[state] = chance[state]

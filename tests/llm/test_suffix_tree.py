@@ -299,11 +299,12 @@ def test_scoring_a_chunk_takes_few_bytes_for_each_token():
     often, here = words[::2], np.arange(500)
     counts = np.bincount(tokens, minlength=1000)[::2]
     tree = suffix_tree.Tree(n, 1000, often, counts, [often], [counts], [here], [here % 2 == 0])
-    pairs = suffix_tree._Pairs(suffix_tree._Chunk(row), tree, 1)
-    asked = pairs.questions(0)
+    chunk = suffix_tree._Chunk(row)
+    pairs = suffix_tree._Pairs(chunk, tree, 1)
+    asked = pairs.questions(0, next(chunk.levels(tree)))
     known = np.bincount(tokens, minlength=1000)[pairs.rare]
     got = [{"known": suffix_tree.pack_small(known), "pairs": [suffix_tree.pack_small(asked["pair_count"])], "contexts": [suffix_tree.pack_small(asked["rare_count"])]}]
-    del pairs, asked
+    del chunk, pairs, asked
     tracemalloc.start()
     try:
         out = suffix_tree.score_chunk(row, got, tree, 1)
@@ -311,3 +312,13 @@ def test_scoring_a_chunk_takes_few_bytes_for_each_token():
     finally:
         tracemalloc.stop()
     assert out.num_rows == texts and out.column("n_tokens").to_pylist() == [n // texts - 1] * texts and peak < 80 * n
+
+
+@pytest.mark.parametrize("largest", [3000, 1 << 61])
+def test_codes_are_ranked_like_unique_values(largest):
+    """Also where number and place do not fit into one word."""
+    for n in (0, 1, 5000):
+        code = np.random.default_rng(n).integers(0, largest, n) // 7 * 7
+        distinct, inverse = np.unique(code, return_inverse=True)
+        got = suffix_tree._ranked_codes(code.copy(), largest)
+        assert np.array_equal(got[0], distinct) and np.array_equal(got[1], inverse)
