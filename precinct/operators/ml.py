@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
@@ -156,6 +158,45 @@ def input_columns(pipeline: Pipeline | PipelineModel) -> list[str]:
     return [c for c in dict.fromkeys(needed) if c and c not in made]
 
 
+def ordered_flags(rows: DataFrame, max_bins: int, column: str = "features") -> DataFrame:
+    """``rows`` whose vector declares more values for its 0/1 places than MLlib tries in all subsets for several classes.
+
+    With so many values a forest adds each row to a bin by the value, where it would ask sets of values otherwise, which takes
+    most of the time of its passes. Values beyond 1 do not occur and their bins stay empty, so that the one split of a
+    place, 0 against 1, and its gain are the same. There have to be ``max_bins`` rows.
+    """
+    attributes = dict(rows.schema[column].metadata.get("ml_attr", {}))
+    kinds = dict(attributes.get("attrs", {}))
+    values = (max_bins // 2 + 1).bit_length() + 1
+    if "binary" not in kinds or values > max_bins:
+        return rows
+    flags = [{k: v for k, v in a.items() if k in ("idx", "name")} | {"num_vals": values} for a in kinds.pop("binary")]
+    attributes["attrs"] = kinds | {"nominal": [*kinds.get("nominal", []), *flags]}
+    return rows.withMetadata(column, rows.schema[column].metadata | {"ml_attr": attributes})
+
+
+@contextmanager
+def _forest_rows(rows: DataFrame, forest: RandomForestClassifier) -> Iterator[DataFrame]:
+    """The columns that a forest reads, assembled once and kept on the executors' disks in their partitions: it passes over
+    them four times before it has rows of its own in memory."""
+    columns = [forest.getLabelCol(), forest.getFeaturesCol()]
+    if forest.isDefined("weightCol") and forest.getWeightCol():
+        columns.append(forest.getWeightCol())
+    kept = rows.select(*columns).persist(StorageLevel.DISK_ONLY)
+    try:
+        enough = kept.limit(forest.getMaxBins()).count() == forest.getMaxBins()
+        yield ordered_flags(kept, forest.getMaxBins(), forest.getFeaturesCol()) if enough else kept
+    finally:
+        kept.unpersist()
+
+
+def _fit_last(estimator: Estimator, rows: DataFrame) -> Model:
+    if not isinstance(estimator, RandomForestClassifier):
+        return Pipeline(stages=[estimator]).fit(rows).stages[0]
+    with _forest_rows(rows, estimator) as kept:
+        return estimator.fit(kept)
+
+
 def fit(
     pipeline: Pipeline,
     train: DataFrame,
@@ -167,19 +208,20 @@ def fit(
     With ``partitions`` the rows are first brought into that many partitions by ``keys``, so that the model does
     not depend on how they are stored; a function (``train_partitions``) gives the number for the count of the rows. Only
     the last estimator sees these partitions: the stages before it count values, which take one narrow pass each over the
-    rows as they are stored. Nothing is persisted here, and the estimators keep their own blocks. A ``train`` that is
-    costly to compute should be a table (``session.materialize``).
+    rows as they are stored. Only a forest's assembled rows are persisted here, on disk while it is fitted; the estimators
+    keep their own blocks. A ``train`` that is costly to compute should be a table (``session.materialize``).
     """
     needed = input_columns(pipeline)
-    if partitions is None:
-        return pipeline.fit(train.select(*needed))
-    if callable(partitions):
-        partitions = partitions(train.count())
-    rows = train.select(*dict.fromkeys([*needed, *keys]))
     *before, last = pipeline.getStages()
-    prepared = Pipeline(stages=before).fit(train.select(*needed))
-    fitted = Pipeline(stages=[last]).fit(prepared.transform(spread_evenly(rows, partitions, *keys)))
-    return PipelineModel(stages=[*prepared.stages, *fitted.stages])
+    if partitions is None:
+        rows = train.select(*needed)
+        prepared = Pipeline(stages=before).fit(rows)
+    else:
+        if callable(partitions):
+            partitions = partitions(train.count())
+        prepared = Pipeline(stages=before).fit(train.select(*needed))
+        rows = spread_evenly(train.select(*dict.fromkeys([*needed, *keys])), partitions, *keys)
+    return PipelineModel(stages=[*prepared.stages, _fit_last(last, prepared.transform(rows))])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -135,6 +135,57 @@ def test_forest_depends_on_the_partitions_parameter_alone(features, parts):
     assert found[0] == found[1]
 
 
+def _known_rows(spark, n):
+    """Incidents of three types that state, month and offenses tell apart, with some noise."""
+    i = F.col("id")
+    kind = F.when(i % 13 == 0, "OTHER").when((i % 5 == 0) | (i % 7 == 3), "THEFT").otherwise("VIOLENCE")
+    return spark.range(n).select(
+        (i % 5).cast("string").alias("state"), F.when(i % 2 == 0, "FIN_SEMANA").otherwise("DIA_SEMANA").alias("TIPO_DIA"),
+        (i % 11).cast("string").alias("HOUR_BUCKET"), (i % 7).cast("string").alias("MONTH"),
+        *[((i * 31 + k) % (k + 2)).cast("int").alias(c) for k, c in enumerate(NUMERIC)],
+        kind.alias("INCIDENT_TYPE"), i.cast("string").alias("A_INCIDENT_ID"),
+    )
+
+
+def test_forest_gets_ordered_flags_from_kept_rows(spark, monkeypatch):
+    """A forest sees no place of two values, which it would try in all subsets, and rows that are assembled once and given back."""
+    seen = {}
+    whole = ml.RandomForestClassifier._fit
+
+    def spied(self, dataset):
+        attributes = dataset.schema["features"].metadata["ml_attr"]["attrs"]
+        seen.update(kinds=set(attributes), values={a["num_vals"] for a in attributes.get("nominal", [])})
+        seen.update(parts=dataset.rdd.getNumPartitions(), plan=dataset._jdf.queryExecution().executedPlan().toString())
+        return whole(self, dataset)
+
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit", spied)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = _known_rows(spark, 600)
+    model = fit(build_pipeline("rf", num_trees=3, max_depth=3), rows, 5)
+    assert seen["kinds"] == {"nominal", "numeric"} and seen["values"] == {6} and seen["parts"] == 5
+    assert "InMemoryTableScan" in seen["plan"]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert model.stages[-1].getNumTrees == 3 and score(model, rows).count() == 600
+
+
+def test_ordered_flags_give_the_same_tree(spark):
+    """Without chance (one tree, all features) each row has the same probabilities, and the tree the same size."""
+    rows = _known_rows(spark, 900)
+    *before, forest = build_pipeline("rf", num_trees=1, max_depth=6, featureSubsetStrategy="all").getStages()
+    prepared = ml.Pipeline(stages=before).fit(rows).transform(rows)
+    plain, ordered = forest.fit(prepared), forest.fit(ml.ordered_flags(prepared, forest.getMaxBins()))
+    assert "binary" in prepared.schema["features"].metadata["ml_attr"]["attrs"]
+    assert plain.totalNumNodes == ordered.totalNumNodes > 9 and plain.trees[0].depth == ordered.trees[0].depth
+    found = [{r[0]: tuple(r[1]) for r in m.transform(prepared).select("A_INCIDENT_ID", "probability").collect()} for m in (plain, ordered)]
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("n", [4, 31, 32])
+def test_forest_of_few_rows(spark, n):
+    model = fit(build_pipeline("rf", num_trees=2, max_depth=2), _known_rows(spark, n), 2)
+    assert score(model, _known_rows(spark, n)).count() == n
+
+
 def test_small_fractions_and_null_keys(spark):
     df = spark.range(20_000).selectExpr("id AS k", "'A' AS label").unionByName(
         spark.range(5).selectExpr("CAST(NULL AS BIGINT) AS k", "'A' AS label")
